@@ -80,7 +80,7 @@ def deliveries_with_watermark(entries: DataFrame, ledger: DataFrame) -> DataFram
     )
     return (
         papers.withColumn("salt", F.pmod(F.xxhash64("arxiv_id"), F.lit(SALTS)).cast("int"))
-        .join(tar_mark, ["source_tar", "salt"], "left")
+        .join(tar_mark.hint("merge"), ["source_tar", "salt"], "left")
         .drop("salt")
         .join(paper_mark, ["source_tar", "arxiv_id"], "left")
         .withColumn(
