@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperlake.llm.sampling import bounded_sample
+from paperlake.session import materialize
 
 # Letters of other alphabets drawn like a Latin letter.
 CYRILLIC = dict(zip("аеорсухіѕјԁԛԝһАВЕКМНОРСТУХІЅЈԚԜ", "aeopcyxisjdqwhABEKMHOPCTYXISJQW", strict=True))
@@ -197,7 +198,7 @@ def reading_pairs(results: DataFrame, counts: dict[str, int]) -> DataFrame:
     the text digest differ). Rows of one text are matched through their form's other texts only, so copies of a single
     text, however many, form no pairs. Null texts take part in nothing.
     """
-    keys = reading_keys(results, counts)
+    keys = materialize(reading_keys(results, counts), "reading-keys")
     mixed = keys.groupBy("form").agg(F.min("exact").alias("lo"), F.max("exact").alias("hi")).where("lo <> hi").select("form")
     keep = keys.join(mixed, "form", "left_semi")
     a, b = keep.alias("a"), keep.alias("b")
@@ -208,7 +209,7 @@ def reading_pairs(results: DataFrame, counts: dict[str, int]) -> DataFrame:
 
 def reading_classes(results: DataFrame, counts: dict[str, int]) -> DataFrame:
     """One row per result: its class (smallest id that reads the same), the class's rows and different spellings."""
-    keys = reading_keys(results, counts)
+    keys = materialize(reading_keys(results, counts), "reading-keys")
     classes = keys.groupBy("form").agg(
         F.min("result_id").alias("class_id"), F.count("*").alias("n_rows"), F.countDistinct("exact").alias("n_spellings")
     )
