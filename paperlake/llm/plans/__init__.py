@@ -1,5 +1,5 @@
 """Queries of the text operators; MODULES lists the modules with QUERIES and ORACLES."""
 
-from paperlake.llm.plans import canonical
+from paperlake.llm.plans import canonical, encoding
 
-MODULES = [canonical]
+MODULES = [canonical, encoding]
