@@ -1,5 +1,5 @@
 """Queries of the text operators; MODULES lists the modules with QUERIES and ORACLES."""
 
-from paperlake.llm.plans import canonical, encoding, quality
+from paperlake.llm.plans import canonical, encoding, markup, quality
 
-MODULES = [canonical, encoding, quality]
+MODULES = [canonical, encoding, markup, quality]
