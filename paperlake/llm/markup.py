@@ -47,7 +47,7 @@ GROUPS = {
     "quote": r"(?m:^)>[ \t]?",
     "code": r"`[^`\n]+`",
     "bold": r"\*\*(?=\S)[^*\n]+?(?<=\S)\*\*|(?<!\w)__(?=\S)[^_\n]+?(?<=\S)__|'''[^'\n](?:[^\n]*?[^'\n])?'''",
-    "italic": r"(?<![\w*])\*(?=[\w“"«(¿¡„])[^*\n]*?(?<=[^\s*])\*(?![\w*])|(?<![\w_])_(?=[^\W_]|[“"«(¿¡„])[^_\n]*?(?<=[^\s_])_(?![\w_])|''[^'\n]+''|~~[^~\n]+~~",
+    "italic": r"(?<![\w*])\*(?=[\w“«(¿¡„])[^*\n]*?(?<=[^\s*])\*(?![\w*])|(?<![\w_])_(?=[^\W_]|[“«(¿¡„])[^_\n]*?(?<=[^\s_])_(?![\w_])|''[^'\n]+''|~~[^~\n]+~~",
 }
 TOKEN = re.compile("|".join(f"(?P<{k}>{v})" for k, v in GROUPS.items()), re.S)
 #: A cheap necessary condition, in a dialect that both engines read.
