@@ -207,12 +207,21 @@ def _command(token: str, stack: list[Node], add, close) -> None:
         add(Node("layout", " ".join(args)))
 
 
-def features(node: Node) -> list[str]:
-    """What a node's own potential looks at."""
-    text = node.plain().strip()
-    size = "empty" if not text else f"len{min(5, int(math.log10(len(text) + 1) * 2))}"
-    ends = "end" if re.search(r"\w\w\W*[.!?。！？]", text) else "open"
-    return [f"kind={node.kind}", f"{node.kind}|{size}", f"{node.kind}|{ends}"]
+ENDS = re.compile(r"\w\w\W*[.!?。！？]")
+
+
+def features(root: Node) -> dict[int, tuple[str, str, str]]:
+    """What every node's own potential looks at: its kind, with the size of the text below it and whether that has the
+    end of a sentence. One pass from the leaves up."""
+    size: dict[int, int] = {}
+    ends: dict[int, bool] = {}
+    out = {}
+    for n in reversed(list(root.walk())):
+        size[id(n)] = len(n.text.strip()) + sum(size[id(c)] for c in n.children)
+        ends[id(n)] = any(ends[id(c)] for c in n.children) or bool(n.text and ENDS.search(n.text))
+        grade = min(5, int(math.log10(size[id(n)] + 1) * 2)) if size[id(n)] else "-"
+        out[id(n)] = (f"kind={n.kind}", f"{n.kind}|{grade}", f"{n.kind}|{'end' if ends[id(n)] else 'open'}")
+    return out
 
 
 class ContentModel:
@@ -227,9 +236,10 @@ class ContentModel:
         pairs = [[1.0, 1.0], [1.0, 1.0]]
         states = [1.0, 1.0]
         for page in pages:
+            of = features(page)
             for node in page.walk():
                 states[node.label] += 1
-                for f in features(node):
+                for f in of[id(node)]:
                     seen[f][node.label] += 1
                 for child in node.children:
                     pairs[node.label][child.label] += 1
@@ -245,7 +255,7 @@ class ContentModel:
     def infer(self, root: Node) -> None:
         """Sum-product: messages up from the leaves, then down from the root. Works on log-odds, iteratively."""
         order = list(root.walk())
-        own = {id(n): self.node.get("", 0.0) + sum(self.node.get(f, 0.0) for f in features(n)) / 2 for n in order}
+        own = {k: self.node.get("", 0.0) + sum(self.node.get(f, 0.0) for f in of) / 2 for k, of in features(root).items()}
         up: dict[int, float] = {}
         belief: dict[int, float] = {}
         for n in reversed(order):
@@ -371,13 +381,18 @@ def _hinted(results: DataFrame) -> DataFrame:
     return results.where(F.col("text").isNotNull()).where(plain.rlike(HINT) & ~lacks_sentences(F.col("text")))
 
 
-def marked_up(results: DataFrame) -> DataFrame:
+def is_residue(text: str | None, model: ContentModel) -> bool:
+    """Whether inference over the text's tree gives another text than it already is. Null and empty: no."""
+    return bool(text) and clean(text, model) != text
+
+
+def marked_up(results: DataFrame, model: ContentModel) -> DataFrame:
     """result_id of rows with markup residue. Texts that are no prose (lists, tables, junk) are no cases."""
 
     @F.pandas_udf("boolean")
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield texts.map(has_markup)
+            yield texts.map(lambda t: is_residue(t, model))
 
     return _hinted(results).select("result_id", found("text").alias("found")).where("found").select("result_id")
 

@@ -1,5 +1,5 @@
 """Queries of the text operators; MODULES lists the modules with QUERIES and ORACLES."""
 
-from paperlake.llm.plans import canonical, encoding, markup, quality, sentences
+from paperlake.llm.plans import canonical, encoding, leakage, markup, quality, sentences
 
-MODULES = [canonical, encoding, markup, quality, sentences]
+MODULES = [canonical, encoding, leakage, markup, quality, sentences]

@@ -9,7 +9,8 @@ from paperlake.session import table
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.marked_up(table(spark, sf_dir, "results"))
+    results = table(spark, sf_dir, "results")
+    return op.marked_up(results, op.fit_model(results))
 
 
 def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
