@@ -1,5 +1,5 @@
 """Queries of the text operators; MODULES lists the modules with QUERIES and ORACLES."""
 
-from paperlake.llm.plans import canonical, encoding, leakage, markup, mixing, quality, quantiles, sentences
+from paperlake.llm.plans import canonical, encoding, language, leakage, markup, mixing, quality, quantiles, sentences
 
-MODULES = [encoding, canonical, quantiles, quality, markup, leakage, mixing, sentences]
+MODULES = [encoding, canonical, quantiles, language, quality, markup, leakage, mixing, sentences]
