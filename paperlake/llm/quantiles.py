@@ -169,6 +169,15 @@ def leaf_summaries(rows: DataFrame, groups: dict[str, Column], metrics: list[str
     return flat.mapInArrow(run, f"kind string, key string, metric string, part int, {SUMMARY}")
 
 
+NAMES = ["kind", "key", "metric", "part", "n", "n_null", "n_sentinel", "error", "v", "lo", "hi"]
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
+    values = np.concatenate(arrays) if arrays else np.zeros(0, dtype=np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.astype(np.int64), pa.int64()))
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     s = [r[4] for r in rows]
     whole = pa.int64()
@@ -176,27 +185,61 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
         [
             pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string()), pa.array([r[3] for r in rows], pa.int32()),
             pa.array([x.n for x in s], whole), pa.array([r[5] for r in rows], whole), pa.array([r[6] for r in rows], whole), pa.array([x.error for x in s], whole),
-            pa.array([x.v for x in s], pa.list_(whole)), pa.array([x.lo for x in s], pa.list_(whole)), pa.array([x.hi for x in s], pa.list_(whole)),
+            _lists([x.v for x in s]), _lists([x.lo for x in s]), _lists([x.hi for x in s]),
         ],
-        names=["kind", "key", "metric", "part", "n", "n_null", "n_sentinel", "error", "v", "lo", "hi"],
+        names=NAMES,
     )
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """(kind, key, metric, part, summary, nulls, sentinels) of a batch; lists are slices, nothing is copied by value."""
+    plain = [batch.column(n).to_pylist() for n in ("kind", "key", "metric", "part", "n", "n_null", "n_sentinel")]
+    lists = []
+    for n in ("v", "lo", "hi"):
+        c = batch.column(n)
+        lists.append((c.offsets.to_numpy(), c.values.to_numpy()))
+    for i, (kind, key, metric, part, n, nulls, sentinels) in enumerate(zip(*plain, strict=True)):
+        v, lo, hi = (values[offsets[i] : offsets[i + 1]] for offsets, values in lists)
+        yield kind, key, metric, part, Summary(v, lo, hi, n), nulls, sentinels
+
+
+def merged(parts: list[Summary]) -> Summary:
+    """All parts as one; parts that still hold every value are put together by one sort."""
+    exact = [p.v for p in parts if len(p.v) == p.n]
+    rest = [p for p in parts if len(p.v) != p.n]
+    total = Summary.exact(np.concatenate(exact) if exact else np.zeros(0, dtype=np.int64))
+    for p in rest:
+        total = total.merge(p)
+    return total
+
+
 def merge_once(summaries: DataFrame, tuples: int, by: list[str]) -> DataFrame:
-    """Merge the summaries that agree in ``by`` (kind, key, metric and, between levels, part)."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = Summary.exact(np.zeros(0, dtype=np.int64))
-        for v, lo, hi, n in zip(pdf["v"], pdf["lo"], pdf["hi"], pdf["n"], strict=True):
-            total = total.merge(Summary(*(np.asarray(x, dtype=np.int64) for x in (v, lo, hi)), int(n)))
-        total = total.prune(tuples)
-        first = pdf.iloc[0]
-        return pd.DataFrame(
-            [[first["kind"], first["key"], first["metric"], int(first["part"]), total.n, int(pdf["n_null"].sum()), int(pdf["n_sentinel"].sum()), total.error, total.v, total.lo, total.hi]],
-            columns=["kind", "key", "metric", "part", "n", "n_null", "n_sentinel", "error", "v", "lo", "hi"],
-        )
-
-    return summaries.groupBy(*by).applyInPandas(run, f"kind string, key string, metric string, part int, {SUMMARY}")
+    """Merge the summaries that agree in ``by`` (kind, key, metric and, between levels, part). Rows of a group come one
+    after the other, so a group is finished as soon as the next begins."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, counts, done = None, [], [0, 0], []
+
+        def finish() -> None:
+            if at is not None:
+                done.append((*at, merged(held).prune(tuples), *counts))
+
+        for batch in batches:
+            for kind, key, metric, part, summary, nulls, sentinels in _rows(batch):
+                if at != (kind, key, metric, part):
+                    finish()
+                    at, held, counts = (kind, key, metric, part), [], [0, 0]
+                held.append(summary)
+                counts = [counts[0] + nulls, counts[1] + sentinels]
+            if len(done) >= 500:
+                yield _batch(done)
+                done = []
+        finish()
+        if done:
+            yield _batch(done)
+
+    together = summaries.select(*NAMES).repartition(*by).sortWithinPartitions(*by)
+    return together.mapInArrow(run, f"kind string, key string, metric string, part int, {SUMMARY}")
 
 
 def summarize(rows: DataFrame, groups: dict[str, Column], metrics: list[str], epsilon: float = EPSILON, valid: tuple[int, int] = (0, MAX_LONG - 1)) -> DataFrame:
