@@ -27,9 +27,9 @@ from paperlake.llm.markup import lacks_sentences
 from paperlake.llm.sampling import bounded_sample, normalized_label
 from paperlake.llm.sentences import sentences
 
-WINDOW = 96
+WINDOW = 64
 WIDTHS = (2, 3, 4)
-FILTERS = 40
+FILTERS = 28
 DIMENSIONS = 16
 #: Price, in nats, of a change of language between two sentences.
 CHANGE = 4.0
@@ -49,10 +49,10 @@ class Network:
     def log_probabilities(self, windows: np.ndarray) -> np.ndarray:
         """(n, languages) for an (n, WINDOW) array of bytes; 0 pads."""
         pooled = np.empty((len(windows), FILTERS * len(WIDTHS)), dtype=np.float32)
-        for at in range(0, len(windows), 64):
-            chunk = windows[at : at + 64]
+        for at in range(0, len(windows), 96):
+            chunk = windows[at : at + 96]
             looked = self.table[chunk]
-            pooled[at : at + 64] = _pool(looked, WINDOW).max(axis=1)
+            pooled[at : at + 96] = _pool(looked, WINDOW).max(axis=1)
         hidden = np.maximum(pooled * self.scale + self.bias, 0)
         return _log_softmax(hidden @ self.out + self.out_bias)
 

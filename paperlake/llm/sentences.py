@@ -31,6 +31,7 @@ MONTHS = "Januar|Februar|März|April|Mai|Juni|Juli|August|September|Oktober|Nove
 
 COMMON = [
     (KEEP, r"\d\.", r"\d"),  # decimals, versions
+    (BREAK, rf"[{LOWER}]{{7}}[.!?]+", rf"\s+[{UPPER}][{LOWER}’' ]"),  # a long word is no abbreviation; settles most places
     (KEEP, r"", r"\s*[,;:)\]}]"),
     (KEEP, r"", r"\s?[—–]\s*(?![A-Z])"),
     (KEEP, r"", rf"\s*[“„«\"(\[‘]?[{LOWER}](?![{UPPER}])"),  # a sentence does not begin with a small letter
@@ -72,7 +73,7 @@ ITEM = re.compile(r"\s*[-*•][ \t]")
 class Rules:
     """The cascade of one kind of paragraph, compiled: neighbouring rules stay in order, the first match decides."""
 
-    REACH = 48
+    REACH = 24
 
     def __init__(self, tables: list[list[tuple[bool, str, str]]]):
         self.rules = [(d, re.compile(f"(?:{b})\\Z") if b else None, re.compile(a) if a else None) for table in tables for d, b, a in table]
