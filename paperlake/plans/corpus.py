@@ -7,7 +7,7 @@ import io
 import os
 import tarfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paperlake.functions import columns, includes
@@ -161,30 +161,36 @@ def num_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag"), "l_returnflag", ["l_orderkey", "l_linenumber"]).withColumn("row_no", F.col("row_no").cast("bigint"))
 
 
+def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their place in the order (line numbers alone repeat)."""
+    by = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
+    return table(spark, sf_dir, "lineitem").withColumn("pos", F.row_number().over(by))
+
+
 def rel_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as sections of a customer's paper: the return flag gives the level."""
     level = F.when(F.col("l_returnflag") == "N", 1).when(F.col("l_returnflag") == "R", 2).otherwise(3)
-    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("pos"), level.alias("level"))
+    rows = _items(spark, sf_dir).select(F.col("l_orderkey").alias("doc"), "pos", level.alias("level"))
     return relational.section_numbers(rows)
 
 
 def rel_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("pos"), F.concat("l_linestatus", F.when(F.col("l_returnflag") != "N", F.lit(":")).otherwise(F.lit("")), "l_returnflag").alias("label")
+    rows = _items(spark, sf_dir).select(
+        F.col("l_orderkey").alias("doc"), "pos", F.concat("l_linestatus", F.when(F.col("l_returnflag") != "N", F.lit(":")).otherwise(F.lit("")), "l_returnflag").alias("label")
     )
     return relational.label_numbers(rows).withColumn("number", F.col("number").cast("bigint"))
 
 
 def rel_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    label = F.when(F.col("l_returnflag") == "R", F.concat(F.lit("L"), "l_linenumber")).when(F.col("l_returnflag") == "A", F.lit("7"))
-    items = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("pos"), F.col("l_suppkey").cast("string").alias("key"), label.alias("label"))
+    label = F.when(F.col("l_returnflag") == "R", F.concat(F.lit("L"), F.col("pos").cast("string"))).when(F.col("l_returnflag") == "A", F.lit("7"))
+    items = _items(spark, sf_dir).select(F.col("l_orderkey").alias("doc"), "pos", F.col("l_suppkey").cast("string").alias("key"), label.alias("label"))
     names = relational.citation_names(items)
     uses = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc"), F.pmod("o_custkey", F.lit(100)).cast("string").alias("key"))
     return relational.resolved(uses, names, "doc", "key", "key", "shown").select("doc", "key", "shown")
 
 
 def rel_floats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("pos"), F.col("l_linestatus").alias("kind"))
+    rows = _items(spark, sf_dir).select(F.col("l_orderkey").alias("doc"), "pos", F.col("l_linestatus").alias("kind"))
     return relational.float_numbers(rows)
 
 
@@ -259,15 +265,16 @@ SELECT outer_tar, CAST(max(chunk) AS INTEGER) AS chunks, CAST(sum(b) AS BIGINT)
     "snk_parquet": "SELECT result_id, outer_tar, status, text FROM results",
     "num_rows": "SELECT l_orderkey, l_linenumber, l_returnflag, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber) AS row_no FROM lineitem",
     "rel_labels": """
-WITH l AS (SELECT l_orderkey AS doc, l_linenumber AS pos, l_linestatus || CASE WHEN l_returnflag <> 'N' THEN ':' ELSE '' END || l_returnflag AS label FROM lineitem),
+WITH l AS (SELECT l_orderkey AS doc, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS pos, l_linestatus || CASE WHEN l_returnflag <> 'N' THEN ':' ELSE '' END || l_returnflag AS label FROM lineitem),
 n AS (SELECT *, row_number() OVER (PARTITION BY doc, CASE WHEN label LIKE '%:%' THEN split_part(label, ':', 1) END ORDER BY pos) AS k FROM l)
 SELECT doc, label, arg_min(k, pos) AS number FROM n GROUP BY doc, label""",
     "rel_citations": """
-WITH i AS (SELECT l_orderkey AS doc, l_linenumber AS pos, CAST(l_suppkey AS VARCHAR) AS key, CASE l_returnflag WHEN 'R' THEN 'L' || l_linenumber WHEN 'A' THEN '7' END AS label FROM lineitem),
+WITH b AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS pos FROM lineitem),
+i AS (SELECT l_orderkey AS doc, pos, CAST(l_suppkey AS VARCHAR) AS key, CASE l_returnflag WHEN 'R' THEN 'L' || pos WHEN 'A' THEN '7' END AS label FROM b),
 n AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY pos) AS k, max(CAST(label LIKE 'L%' AS INTEGER)) OVER (PARTITION BY doc) AS texty FROM i),
 m AS (SELECT doc, key, arg_min(CASE WHEN texty = 1 THEN coalesce(label, CAST(k AS VARCHAR)) ELSE CAST(k AS VARCHAR) END, pos) AS shown FROM n GROUP BY doc, key),
 u AS (SELECT o_orderkey AS doc, CAST(o_custkey % 100 AS VARCHAR) AS key FROM orders)
 SELECT u.doc, u.key, coalesce(m.shown, u.key) AS shown FROM u LEFT JOIN m ON m.doc = u.doc AND m.key = u.key""",
-    "rel_floats": "SELECT l_orderkey AS doc, l_linenumber AS pos, l_linestatus AS kind, CAST(row_number() OVER (PARTITION BY l_orderkey, l_linestatus ORDER BY l_linenumber) AS INTEGER) AS number FROM lineitem",
+    "rel_floats": "WITH b AS (SELECT *, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS INTEGER) AS pos FROM lineitem) SELECT l_orderkey AS doc, pos, l_linestatus AS kind, CAST(row_number() OVER (PARTITION BY l_orderkey, l_linestatus ORDER BY pos) AS INTEGER) AS number FROM b",
     "str_windows": "SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL",
 }
