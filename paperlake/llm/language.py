@@ -29,7 +29,7 @@ from paperlake.llm.sentences import sentences
 
 WINDOW = 64
 WIDTHS = (2, 3, 4)
-FILTERS = 28
+FILTERS = 24
 DIMENSIONS = 16
 #: Price, in nats, of a change of language between two sentences.
 CHANGE = 4.0
@@ -175,7 +175,7 @@ def garbled(text: str, language: str, rng: random.Random) -> str:
     return wrong
 
 
-def train(labelled: list[tuple[str, str]], per_language: int = 2500, seed: int = 3) -> Network:
+def train(labelled: list[tuple[str, str]], per_language: int = 3500, seed: int = 3) -> Network:
     """``labelled``: (language, sentence). Languages with few sentences are repeated up to a fifth of ``per_language``."""
     rng = random.Random(seed)
     by: dict[str, list[str]] = defaultdict(list)
@@ -198,13 +198,14 @@ def train(labelled: list[tuple[str, str]], per_language: int = 2500, seed: int =
     trainer = Trainer(languages, seed)
     trainer.epoch(x, y, 0.004)
     agreed = trainer.network().log_probabilities(x)[np.arange(len(y)), y] > np.log(0.15)
-    for rate in (0.004, 0.002, 0.0005):
+    for rate in (0.004, 0.002, 0.001, 0.0003):
         trainer.epoch(x[agreed], y[agreed], rate)
     return trainer.network()
 
 
 NOISE = re.compile(r"\$\$.*?\$\$|\$[^$\n]*\$|<[^<>\n]*>|\\[A-Za-z]+\*?|\{\{[^{}]*\}\}|https?://\S+|[{}\\]", re.S)
-LETTERS = re.compile(r"[^\W\d_].*[^\W\d_]")
+MARKS = re.compile(r"[$<\\{}]|https?:")
+LETTERS = re.compile(r"[^\W\d_].*?[^\W\d_]")
 #: Characters that wrong decodings scatter; sentences full of them only count where a text has no others.
 SCATTERED = re.compile("[\x80-¿ÃÂâ�─-╿]")
 
@@ -213,7 +214,10 @@ def prepared_sentences(text: str, canonicalizer: Canonicalizer) -> list[tuple[in
     """(start, end, letters to look at) of every sentence with something to look at."""
     out = []
     for a, b in sentences(text):
-        s = " ".join(NOISE.sub(" ", canonicalizer(text[a:b])).split())
+        s = canonicalizer(text[a:b])
+        if MARKS.search(s):
+            s = NOISE.sub(" ", s)
+        s = " ".join(s.split())
         if LETTERS.search(s):
             out.append((a, b, s))
     return out
@@ -235,7 +239,7 @@ def best_path(scores: np.ndarray) -> np.ndarray:
     return path
 
 
-FINAL = re.compile(r"[.!?…。！？．][”’»)\]」』“\s]*(?:\[\d[\d, –-]*\])*$")
+FINAL = re.compile(r"[.!?…。！？．][”’»)\]」』“\s]*(?:\[\d[\d, –-]*\])*\Z")
 
 
 def judge(texts: list[str | None], network: Network, canonicalizer: Canonicalizer) -> list[list[tuple[int, int, int, float, int]]]:
@@ -248,8 +252,8 @@ def judge(texts: list[str | None], network: Network, canonicalizer: Canonicalize
             w = windows_of(s.encode("utf-8", "ignore"))
             pieces += w
             counts.append(len(w))
-            wild = 4 * len(SCATTERED.findall(s)) > len(s)
-            heading = text[a] == "#" or not FINAL.search(text[a:b])
+            wild = not s.isascii() and 4 * len(SCATTERED.findall(s)) > len(s)
+            heading = text[a] == "#" or not FINAL.search(text, max(a, b - 24), b)
             spans.append((a, b, len(s), wild, not heading))
             owners.append(n)
     result: list[list] = [[] for _ in texts]
