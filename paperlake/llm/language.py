@@ -29,7 +29,7 @@ from paperlake.llm.sentences import sentences
 
 WINDOW = 64
 WIDTHS = (2, 3, 4)
-FILTERS = 24
+FILTERS = 32
 DIMENSIONS = 16
 #: Price, in nats, of a change of language between two sentences.
 CHANGE = 4.0
@@ -40,7 +40,7 @@ ENOUGH = 2
 @dataclass
 class Network:
     languages: list[str]
-    table: np.ndarray  # (256, offsets of all widths x FILTERS) int16
+    tables: list[list[np.ndarray]]  # per width one (256, FILTERS) int16 table per offset
     scale: float
     bias: np.ndarray
     out: np.ndarray
@@ -49,10 +49,15 @@ class Network:
     def log_probabilities(self, windows: np.ndarray) -> np.ndarray:
         """(n, languages) for an (n, WINDOW) array of bytes; 0 pads."""
         pooled = np.empty((len(windows), FILTERS * len(WIDTHS)), dtype=np.float32)
-        for at in range(0, len(windows), 96):
-            chunk = windows[at : at + 96]
-            looked = self.table[chunk]
-            pooled[at : at + 96] = _pool(looked, WINDOW).max(axis=1)
+        places = WINDOW - max(WIDTHS) + 1
+        for at in range(0, len(windows), 64):
+            chunk = windows[at : at + 64].astype(np.intp)
+            for i, offsets in enumerate(self.tables):
+                # whole rows of a table are looked up and added, so all inner loops run over long stretches of memory
+                total = offsets[0].take(chunk[:, :places], axis=0)
+                for k in range(1, len(offsets)):
+                    total += offsets[k].take(chunk[:, k : places + k], axis=0)
+                pooled[at : at + 64, i * FILTERS : (i + 1) * FILTERS] = total.max(axis=1)
         hidden = np.maximum(pooled * self.scale + self.bias, 0)
         return _log_softmax(hidden @ self.out + self.out_bias)
 
@@ -153,7 +158,10 @@ class Trainer:
         table = self.full_table()
         widest = np.abs(table).max()
         scale = widest * max(WIDTHS) / 32000
-        return Network(self.languages, np.round(table / scale).astype(np.int16), float(scale), self.p["bias"], self.p["out"], self.p["out_bias"])
+        whole = np.round(table / scale).astype(np.int16)
+        single = [np.ascontiguousarray(whole[:, c : c + FILTERS]) for c in range(0, whole.shape[1], FILTERS)]
+        tables = [single[sum(WIDTHS[:i]) : sum(WIDTHS[: i + 1])] for i in range(len(WIDTHS))]
+        return Network(self.languages, tables, float(scale), self.p["bias"], self.p["out"], self.p["out_bias"])
 
 
 # Wrong decodings that training sentences are put through, (meant, shown).
@@ -252,7 +260,7 @@ def judge(texts: list[str | None], network: Network, canonicalizer: Canonicalize
             w = windows_of(s.encode("utf-8", "ignore"))
             pieces += w
             counts.append(len(w))
-            wild = not s.isascii() and 4 * len(SCATTERED.findall(s)) > len(s)
+            wild = "\ufffd" in s or not s.isascii() and 4 * len(SCATTERED.findall(s)) > len(s)
             heading = text[a] == "#" or not FINAL.search(text, max(a, b - 24), b)
             spans.append((a, b, len(s), wild, not heading))
             owners.append(n)
