@@ -214,7 +214,7 @@ def train(labelled: list[tuple[str, str]], per_language: int = 3500, seed: int =
 NOISE = re.compile(r"\$\$.*?\$\$|\$[^$\n]*\$|<[^<>\n]*>|\\[A-Za-z]+\*?|\{\{[^{}]*\}\}|https?://\S+|[{}\\]", re.S)
 MARKS = re.compile(r"[$<\\{}]|https?:")
 LETTERS = re.compile(r"[^\W\d_].*?[^\W\d_]")
-#: Characters that wrong decodings scatter; sentences full of them only count where a text has no others.
+#: Characters that wrong decodings scatter; sentences full of them hardly count where a text has enough others.
 SCATTERED = re.compile("[\x80-¿ÃÂâ�─-╿]")
 
 
@@ -276,7 +276,7 @@ def judge(texts: list[str | None], network: Network, canonicalizer: Canonicalize
         n, mine = owners[low], np.arange(low, high)
         sc = scores[low:high]
         wild = np.array([spans[i][3] for i in mine])
-        if wild.any() and not wild.all():
+        if wild.any() and sum(spans[i][4] for i in mine[~wild]) >= ENOUGH:
             sc = np.where(wild[:, None], sc * 0.02, sc)
         tops = sc.argmax(axis=1)
         path = tops if (tops == tops[0]).all() else best_path(sc)
