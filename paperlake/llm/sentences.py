@@ -26,7 +26,7 @@ NUMBERED = (
     "Fig|Figs|Eq|Eqs|Sec|Secs|Ref|Refs|Vol|No|no|nos|Nos|Tab|Ch|App|p|pp|fig|figs|éq|éqs|eq|ec|núm|núms|n|vol|cap|art|tab|Abb|S|Nr|Bd|Kap|рис|табл|стр|гл|"
     "approx|aprox|env|ca|num|ex|ej|es|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sep|Sept|Oct|Nov|Dec|al|cf|vgl|vs|sec|ff|sqq"
 )
-POINTING = r"cf|vgl|Vgl|vs|bzw|s|i\.e|e\.g|z\. ?B|d\. ?h|u\. ?a|см|См|т\. ?е|p\. ?ex|p\. ?ej|ad es|approx|aprox|ca|App|Anh|Eq|Fig|Sec|Tab|Abb|Ref|Vol|Nr|S|Kap|EE"
+POINTING = r"cf|vgl|Vgl|vs|bzw|s|i\.\s?e|e\.\s?g|z\.\s*B|d\.\s*h|u\.\s*a|см|См|т\.\s*е|p\.\s*ex|p\.\s*ej|ad\s+es|approx|aprox|ca|App|Anh|Eq|Fig|Sec|Tab|Abb|Ref|Vol|Nr|S|Kap|EE"
 MONTHS = "Januar|Februar|März|April|Mai|Juni|Juli|August|September|Oktober|November|Dezember"
 
 COMMON = [
@@ -35,8 +35,9 @@ COMMON = [
     (KEEP, r"", r"\s*[,;:)\]}]"),
     (KEEP, r"", r"\s?[—–]\s*(?![A-Z])"),
     (KEEP, r"", rf"\s*[“„«\"(\[‘]?[{LOWER}](?![{UPPER}])"),  # a sentence does not begin with a small letter
+    (KEEP, rf"(?<!\w)[{LOWER}]\.", rf"\s?[{UPPER}]\."),  # z. B., u. U.
     (KEEP, rf"(?<!\w)(?:{TITLES})\.", r""),
-    (KEEP, rf"(?<!\w)(?:{NUMBERED})\.", r"\s*[\d(\[½]"),
+    (KEEP, rf"(?<!\w)(?:{NUMBERED}|{POINTING})\.", r"\s*[\d(\[½]"),
     (BREAK, rf"\d\s[{UPPER}]\.", rf"\s+[“„«¿¡(]?[{UPPER}]"),  # a unit such as K, not an initial
     (BREAK, rf"(?:App|Anh|Ref|Eq|Tab)\.\s[{UPPER}]\.", rf"\s+[“„«¿¡(]?[{UPPER}]"),
     (KEEP, rf"(?<!\w)(?:{POINTING})\.", rf"\s*[{UPPER}]"),
@@ -49,16 +50,17 @@ COMMON = [
     (BREAK, r"", rf"\s+[“„«\"(\[‘¿¡#-]*\s*[{UPPER}{UNCASED}0-9]|\s+[a-z][{UPPER}]|\s+[√∑∫$≤≥±]"),
     (KEEP, r"", r""),
 ]
-GERMAN = [(KEEP, r"(?<!\w)[Aa]m \d+\.", r"\s"), (KEEP, r"\d\.", rf"\s+(?:{MONTHS})\b")]
+GERMAN = [(KEEP, r"(?<!\w)(?:[Aa]m|AM)\s+\d+\.", r"\s"), (KEEP, r"\d\.", rf"\s+(?:{MONTHS})\b")]
 WIDE = [
     (KEEP, r"[。！？!?][”」』’]+", r"[^。！？!?\n“「『]{0,16}?(?:问道|問道|问|說道|说道|写道|答道|說|说)"),  # the speaker follows
     (KEEP, r"[。！？!?][”」』’]+", r"\s*(?:と|って)"),
     (KEEP, r"", r"[」』）)，、；：]"),
+    (KEEP, r"…", r""),
     (BREAK, r"[。！？．｡][”」』’）)》]*(?:\s*\[\d[\d, –-]*\])*", r""),
 ]
 HINDI = [(BREAK, r"[।॥][”’)]*(?:\s*\[\d[\d, –-]*\])*", r"")]
 THAI = [(BREAK, r"[฀-๿0-9)”]", r" +[฀-๿]"), (KEEP, r"[฀-๿]", r" ")]
-TABLES = {"de": [GERMAN, COMMON], "wide": [WIDE, COMMON], "hi": [HINDI, COMMON], "th": [THAI, HINDI, COMMON], "": [COMMON], "any": [GERMAN, COMMON]}
+TABLES = {"de": [GERMAN, COMMON], "wide": [WIDE, GERMAN, COMMON], "hi": [HINDI, GERMAN, COMMON], "th": [THAI, HINDI, GERMAN, COMMON], "": [COMMON], "any": [GERMAN, COMMON]}
 
 FINAL = re.compile(
     r"(?:[.!?]+|…|[。！？．｡।॥]+)"
