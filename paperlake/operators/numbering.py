@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,17 +22,17 @@ def numbered(rows: DataFrame, group: str, order: list[str], name: str = "row_no"
     placed = rows.repartitionByRange(partitions, group, *order).sortWithinPartitions(group, *order).withColumn("_part", F.spark_partition_id())
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in placed.schema.fields) + ", _within bigint"
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, seen = object(), 0
         for b in batches:
             within = []
-            for g in b[group].where(b[group].notna(), None):
+            for g in b.column(group).to_pylist():
                 seen = seen + 1 if g == last else 1
                 last = g
                 within.append(seen)
-            yield b.assign(_within=pd.Series(within, index=b.index, dtype="int64"))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(within, pa.int64())], names=[*b.schema.names, "_within"])
 
-    local = materialize(placed.mapInPandas(count, schema), "numbered")
+    local = materialize(placed.mapInArrow(count, schema), "numbered")
     sums = local.groupBy(group, "_part").agg(F.count("*").alias("_n"))
     w = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(F.col(group).alias("_g"), F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
