@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperlake.llm.canonical import Canonicalizer
+from paperlake.llm.canonical import NEEDS_TABLE, TABLE, Canonicalizer
 from paperlake.llm.markup import lacks_sentences
 from paperlake.llm.sampling import bounded_sample, normalized_label
 from paperlake.llm.sentences import sentences
@@ -218,6 +218,19 @@ LETTERS = re.compile(r"[^\W\d_].*?[^\W\d_]")
 SCATTERED = re.compile("[\x80-¿ÃÂâ�─-╿]")
 
 
+def leveled(text: str) -> tuple[str, list[int] | None]:
+    """The text with width, spaces and ignorable characters settled, so that sentences are cut alike, and the place that
+    every character had (None: where it is)."""
+    if text.isascii() or not NEEDS_TABLE.search(text):
+        return text, None
+    letters, places = [], []
+    for i, c in enumerate(text):
+        for x in TABLE.get(ord(c), c):
+            letters.append(x)
+            places.append(i)
+    return "".join(letters), places
+
+
 def prepared_sentences(text: str, canonicalizer: Canonicalizer) -> list[tuple[int, int, str]]:
     """(start, end, letters to look at) of every sentence with something to look at."""
     out = []
@@ -255,14 +268,16 @@ def judge(texts: list[str | None], network: Network, canonicalizer: Canonicalize
     through the network together."""
     pieces: list[bytes] = []
     counts, spans, owners = [], [], []
-    for n, text in enumerate(texts):
-        for a, b, s in prepared_sentences(text, canonicalizer) if text else []:
+    for n, given in enumerate(texts):
+        text, places = leveled(given) if given else ("", None)
+        for a, b, s in prepared_sentences(text, canonicalizer):
             w = windows_of(s.encode("utf-8", "ignore"))
             pieces += w
             counts.append(len(w))
             wild = "\ufffd" in s or not s.isascii() and 4 * len(SCATTERED.findall(s)) > len(s)
             heading = text[a] == "#" or not FINAL.search(text, max(a, b - 24), b)
-            spans.append((a, b, len(s), wild, not heading))
+            first, last = (a, b) if places is None else (places[a], places[b - 1] + 1)
+            spans.append((first, last, len(s), wild, not heading))
             owners.append(n)
     result: list[list] = [[] for _ in texts]
     if not pieces:

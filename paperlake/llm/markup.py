@@ -25,14 +25,14 @@ from paperlake.llm.quality import SENTENCE_END
 from paperlake.llm.sampling import bounded_sample
 
 FORMULA = re.compile(r"\$\$.*?\$\$|\$[^$\n]*\$", re.S)
-BRACED = r"\{(?:[^{}]|\{(?:[^{}]|\{[^{}]*\})*\})*\}"
+BRACED = r"\{(?:[^{}]++|\{(?:[^{}]++|\{[^{}]*+\})*+\})*+\}"
 GROUPS = {
     "formula": r"\$\$.*?\$\$|\$[^$\n]*\$",
     "comment": r"<!--.*?-->",
     "fence": r"(?m:^)(?:```|~~~)[^\n]*\n.*?(?:```|~~~)(?=\s|$)",
     "tag": r"</?[A-Za-z][\w:-]*(?:\s[^<>]*)?/?>",
     "entity": r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});",
-    "template": r"\{\{(?:[^{}]|\{\{[^{}]*\}\})*\}\}",
+    "template": r"\{\{(?:[^{}]++|\{\{[^{}]*+\}\})*+\}\}",
     "table": r"(?m:^)\{\|.*?\|\}|(?m:^)\|[^\n]*\|[ \t]*(?m:$)",
     "wikilink": r"\[\[[^\[\]\n]+\]\]",
     "link": r"!?\[[^\[\]\n]*\]\((?=[^()\s]*[./#:])[^()\n]*\)|\[https?://[^\s\]]+[^\]\n]*\]",
@@ -93,6 +93,8 @@ ELEMENTS = {
     "pre": "pre", "code": "inline", "em": "inline", "i": "inline", "b": "inline", "strong": "inline", "span": "inline", "a": "link", "sup": "sup", "sub": "inline",
     "script": "script", "style": "script", "nav": "nav", "footer": "nav", "header": "nav", "aside": "nav", "form": "nav", "ref": "reference", "math": "inline",
 }
+#: Elements nested deeper than this no longer open a level of their own.
+DEEPEST = 150
 VOID = {"br", "hr", "img", "input", "meta", "link", "wbr"}
 ENVIRONMENTS = {
     "itemize": "list", "enumerate": "list", "description": "list", "equation": "display", "equation*": "display", "align": "display", "align*": "display", "gather": "display",
@@ -137,7 +139,7 @@ def parse(text: str) -> Node:
                 add(Node("break", "\n"))
             elif name in VOID or token.endswith("/>"):
                 add(Node("reference" if kind == "reference" else "rule"))
-            else:
+            elif len(stack) < DEEPEST:
                 node = Node(kind)
                 add(node)
                 stack.append(node)
@@ -159,7 +161,7 @@ def parse(text: str) -> Node:
             if token.startswith("\\end"):
                 close({"item"}) if kind == "list" else None
                 close({kind})
-            else:
+            elif len(stack) < DEEPEST:
                 node = Node(kind)
                 add(node)
                 stack.append(node)

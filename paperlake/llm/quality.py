@@ -29,7 +29,7 @@ il di che non è per della gli
 o os e uma não da do um em
 что не на и в для это к с по при как"""
 COMMON = r"(?iU)(?<!\p{L})(?:" + "|".join(sorted(set(COMMON_WORDS.split()))) + r")(?!\p{L})|[的了是在のはをに]"
-SENTENCE_END = r"\p{L}\p{L}[)\]»”\"’*_`]*[.!?…]|[。！？．｡]"
+SENTENCE_END = r"\p{L}[\p{M}\p{Cf}]*\p{L}[\p{M}\p{Cf})\]»”\"’*_`]*[.!?…]|[。！？．｡]"
 LINE_END = r"(?m)[.!?…。！？:;][)\]»”\"’]*[ \t]*$"
 STATISTICS = ["n_words", "mean_word_len", "symbol_share", "digit_share", "line_end_share", "common_share", "sentence_rate", "distinct_line_share"]
 

@@ -8,11 +8,15 @@ from pyspark.sql import functions as F
 
 #: Buckets of the sampling hash.
 HASH_BUCKETS = 1 << 20
+#: Longer texts are no sample texts, so that a sample stays small in memory.
+MOST_OCTETS = 20_000
 
 
 def bounded_sample(df: DataFrame, key: str, rows: int) -> pd.DataFrame:
     """About ``rows`` rows, never more than twice that, chosen by a hash of ``key`` so that every run and every
     partitioning picks the same ones. Only models are fitted on it; no result is computed from it."""
+    if "text" in df.columns:
+        df = df.where(F.octet_length("text") <= MOST_OCTETS)
     total = df.count()
     if total == 0:
         return df.limit(0).toPandas()
