@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperlake.llm.canonical import NEEDS_TABLE, TABLE, Canonicalizer
+from paperlake.llm.canonical import IGNORABLE, TABLE, Canonicalizer
 from paperlake.llm.markup import lacks_sentences
 from paperlake.llm.sampling import bounded_sample, normalized_label
 from paperlake.llm.sentences import sentences
@@ -218,10 +218,14 @@ LETTERS = re.compile(r"[^\W\d_].*?[^\W\d_]")
 SCATTERED = re.compile("[\x80-¿ÃÂâ�─-╿]")
 
 
+#: What keeps a sentence end from being seen: ignorable characters, full-width letters and stops.
+DISGUISED = re.compile(f"[{IGNORABLE}Ａ-Ｚａ-ｚ．]")
+
+
 def leveled(text: str) -> tuple[str, list[int] | None]:
     """The text with width, spaces and ignorable characters settled, so that sentences are cut alike, and the place that
     every character had (None: where it is)."""
-    if text.isascii() or not NEEDS_TABLE.search(text):
+    if text.isascii() or not DISGUISED.search(text):
         return text, None
     letters, places = [], []
     for i, c in enumerate(text):
