@@ -8,12 +8,16 @@ from typing import NamedTuple
 
 from paperlake.functions.scan import WHOLE_COMMAND, arg, group, option, replace_words, rewrite
 
-COMMENT = re.compile(r"(?<!\\)((?:\\\\)*)%[^\n]*\n?")
-
-
 def remove_comments(s: str) -> str:
     """A percent sign after an even number of backslashes takes the rest of its line and the line break with it."""
-    return COMMENT.sub(r"\1", s)
+    out, last, at = [], 0, 0
+    while (i := s.find("%", at)) >= 0:
+        at = i + 1
+        if (i - len(s[last:i].rstrip("\\")) - last) % 2 == 0:
+            out.append(s[last:i])
+            end = s.find("\n", i)
+            last = at = len(s) if end < 0 else end + 1
+    return "".join([*out, s[last:]]) if out else s
 
 
 # Shorthands and the environments they open or close.
