@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from paperlake.functions import columns, includes
 from paperlake.operators import outcome, relational, text
 from paperlake.operators.numbering import numbered
-from paperlake.session import scratch, table
+from paperlake.session import scratch, spread, table
 from paperlake.sinks import shards
 from paperlake.sources import ledger
 from paperlake.sources.archives import read_papers
@@ -99,7 +99,7 @@ def src_tar_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def out_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: every delivered paper to its result row."""
-    return text.extract_papers(papers_of_entries(spark, sf_dir)).drop("stage_timings_us", "total_time_us")
+    return text.extract_papers(spread(papers_of_entries(spark, sf_dir), "source_tar", "arxiv_id")).drop("stage_timings_us", "total_time_us")
 
 
 def out_size_guard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """For work that costs much more than moving the rows: an input of fewer partitions than there are cores (a small
+    single file) is spread by ``keys``; any other stays as it was read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: spark.checkpoint.dir if the cluster names one.
 
