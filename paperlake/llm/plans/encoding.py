@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from paperlake.llm import encoding as op
-from paperlake.session import table
+from paperlake.session import spread, table
 
 
 def p2_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     results, entries = table(spark, sf_dir, "results"), table(spark, sf_dir, "entries")
-    return op.garbled_texts(op.texts_of(results, entries), op.dictionaries(results))
+    return op.garbled_texts(op.texts_of(spread(results, "result_id"), spread(entries, "entry_seq")), op.dictionaries(results))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:

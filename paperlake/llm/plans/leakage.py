@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from paperlake.llm import leakage as op
-from paperlake.session import materialize, table
+from paperlake.session import materialize, spread, table
 
 
 def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+    return op.leaks(spread(table(spark, sf_dir, "documents"), "doc_id"), table(spark, sf_dir, "eval_items"))
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:

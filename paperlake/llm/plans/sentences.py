@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from paperlake.llm import sentences as op
-from paperlake.session import table
+from paperlake.session import spread, table
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.sentence_units(table(spark, sf_dir, "documents"), with_text=False).select("doc_id", "sent_start")
+    return op.sentence_units(spread(table(spark, sf_dir, "documents"), "doc_id"), with_text=False).select("doc_id", "sent_start")
 
 
 def p10_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.sentence_units(table(spark, sf_dir, "documents"))
+    return op.sentence_units(spread(table(spark, sf_dir, "documents"), "doc_id"))
 
 
 QUERIES = {"p10_found": p10_found, "p10_sentences": p10_sentences}
