@@ -4,11 +4,12 @@ Statistics are built-in expressions. Each is kept as an integer level (ratios in
 scale), so that the empirical distribution of a statistic in a language has at most LEVELS + 1 steps however many rows
 there are. Ranks come from one range-partitioned sort of the (statistic, language, level) counts: partitions are summed,
 the sums become partition offsets, and offset plus running sum is the exact number of rows below. Ties share a rank.
+
+The score ranks a row among those rows of its language that hold a sentence end; it selects the rows of ``not_prose``.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -28,8 +29,11 @@ el los las y es una no se con por para
 il di che non è per della gli
 o os e uma não da do um em
 что не на и в для это к с по при как"""
-COMMON = r"(?iU)(?<!\p{L})(?:" + "|".join(sorted(set(COMMON_WORDS.split()))) + r")(?!\p{L})|[的了是在のはをに]"
+#: Only runs of at most five letters, the longest word, are compared with the words.
+COMMON = r"(?iU)(?<!\p{L})(?=\p{L}{1,5}+(?!\p{L}))(?:" + "|".join(sorted(set(COMMON_WORDS.split()))) + r")(?!\p{L})|[的了是在のはをに]"
 SENTENCE_END = r"\p{L}[\p{M}\p{Cf}]*\p{L}[\p{M}\p{Cf})\]»”\"’*_`]*[.!?…]|[。！？．｡]"
+#: A sentence end that nothing continues: not the dot of a file name, an address or an abbreviation inside a phrase.
+CLOSED_END = r"\p{L}[\p{M}\p{Cf}]*+\p{L}[\p{M}\p{Cf})\]»”\"’*_`]*+(?:[ \u00a0\u202f]?[!?]|[.…])(?![\p{L}\p{N}_/@,;-]|\s+[\p{Ll}\p{N}])|[。！？．｡]"
 LINE_END = r"(?m)[.!?…。！？:;][)\]»”\"’]*[ \t]*$"
 STATISTICS = ["n_words", "mean_word_len", "symbol_share", "digit_share", "line_end_share", "common_share", "sentence_rate", "distinct_line_share"]
 
@@ -45,19 +49,26 @@ def count_of(pattern: str, text: Column) -> Column:
     return F.regexp_count(text, F.lit(pattern))
 
 
-def text_statistics(results: DataFrame) -> DataFrame:
-    """result_id, lang, text_length (octets of the text, whatever the table says) and the counts and shares of the text.
+def chars_in(pattern: str, text: Column) -> Column:
+    """Characters in runs of a class; ``pattern`` matches whole runs, so no list of single characters is built."""
+    return F.char_length(text) - F.char_length(F.regexp_replace(text, pattern, ""))
+
+
+def text_statistics(results: DataFrame, *further: str) -> DataFrame:
+    """result_id, lang, text_length (octets of the text, whatever the table says) and the counts and shares of the text;
+    before these the ``further`` columns.
 
     Null text: text_length null and every count 0. Empty and blank texts: counts 0, shares 0.
     """
     t = F.coalesce(F.col("text"), F.lit(""))
     base = results.select(
         "result_id",
+        *further,
         language_code(F.col("lang_label")).alias("lang"),
         F.octet_length("text").cast("bigint").alias("text_length"),
         F.char_length(t).cast("bigint").alias("n_chars"),
         count_of(r"\p{L}+", t).cast("bigint").alias("n_words"),
-        count_of(r"\p{L}", t).cast("bigint").alias("n_letters"),
+        chars_in(r"\p{L}+", t).cast("bigint").alias("n_letters"),
         count_of(r"[0-9]", t).cast("bigint").alias("n_digits"),
         count_of(r"\s", t).cast("bigint").alias("n_spaces"),
         count_of(r"[^\x00-\x7f]", t).cast("bigint").alias("n_high"),
@@ -147,38 +158,54 @@ def distribution_arrays(ranks: DataFrame) -> DataFrame:
     return arrays.groupBy("lang").agg(*[F.max(F.when(F.col("stat") == s, F.col("below"))).alias(f"below_{s}") for s in STATISTICS])
 
 
+#: The statistics that make the score, with the side that speaks against prose (0: both). None of them looks for
+#: sentence ends inside a text, which ``not_prose`` checks afterwards.
+SCORED = {"common_share": -1, "line_end_share": -1, "distinct_line_share": -1, "symbol_share": 1, "digit_share": 1, "mean_word_len": 0}
+
+
 def outlier_scores(stats: DataFrame) -> DataFrame:
-    """Adds ``score`` and ``extreme``: sum and maximum of -log(tail) over the statistics, by language.
+    """Adds ``n_ref`` and ``score``: the sum of -log(tail) over the SCORED statistics.
 
-    A row's tail is the smaller of the shares of rows strictly below and strictly above it (plus one row), so rows that
-    tie at the end of a distribution are all fully extreme, however many they are.
+    A tail is the share of the reference rows (those of the language with a sentence end, ``n_ref`` of them, plus the row
+    itself) that lie at least as far out. Ties count, so a usual value adds nothing; junk does not hide junk, however
+    much of a language it is. A language without reference rows has the score 0.
     """
     levelled = materialize(with_levels(stats), "text-statistics")
     # languages are a closed set (codes of the table and "und"), so this side has a fixed bound
-    arrays = F.broadcast(distribution_arrays(level_ranks(levelled)))
-    joined = levelled.join(arrays, "lang")
+    arrays = F.broadcast(distribution_arrays(level_ranks(levelled.where("n_sentence_ends > 0"))))
+    joined = levelled.join(arrays, "lang", "left")
+    n_ref = F.coalesce(F.element_at(f"below_{STATISTICS[0]}", LEVELS + 2), F.lit(0))
     surprise = []
-    for s in STATISTICS:
-        total = F.element_at(f"below_{s}", LEVELS + 2)
-        below = F.element_at(f"below_{s}", F.col(f"level_{s}") + 1)
-        above = total - F.element_at(f"below_{s}", F.col(f"level_{s}") + 2)
-        surprise.append(-F.log((F.least(below, above) + 1) / (total + 1)))
-    total = F.element_at(f"below_{STATISTICS[0]}", LEVELS + 2)
+    for s, side in SCORED.items():
+        low = F.element_at(f"below_{s}", F.col(f"level_{s}") + 2)
+        high = n_ref - F.element_at(f"below_{s}", F.col(f"level_{s}") + 1)
+        tail = low if side < 0 else high if side > 0 else F.least(n_ref, 2 * F.least(low, high))
+        surprise.append(F.coalesce(-F.log((tail + 1) / (n_ref + 1)), F.lit(0.0)))
     columns = [c for c in levelled.columns if not c.startswith("level_")]
-    return joined.select(*columns, total.alias("n_lang"), sum(surprise[1:], surprise[0]).alias("score"), F.greatest(*surprise).alias("extreme"))
+    return joined.select(*columns, n_ref.alias("n_ref"), sum(surprise[1:], surprise[0]).alias("score"))
+
+
+#: Six independent tails of prose would add up to this in a quarter of its rows.
+LEAST_SCORE = 7.4
+#: Few reference rows cannot give a high score; there, half of the score they can give is asked for.
+LEAST_PART = 0.5
+#: Prose closes a sentence every 10 to 40 words.
+MOST_CLOSED = 0.01
 
 
-#: A row is looked at more closely if some statistic lies in this tail of its language.
-TAIL = 0.05
+def outlying() -> Column:
+    """Whether the score of a row is that of a list, a table or junk."""
+    return F.col("score") >= F.least(F.lit(LEAST_SCORE), F.log(F.col("n_ref") + 1) * (len(SCORED) * LEAST_PART))
 
 
 def not_prose(results: DataFrame) -> DataFrame:
     """result_id of rows whose text as a whole is a list, a table or junk.
 
-    Candidates are the rows extreme in some statistic; of these, texts without a single sentence end are no prose. Texts
+    The score selects the rows; of these, texts that close less than one sentence in a hundred words are no prose. Texts
     made of many characters beyond ASCII without any known mark are garbled prose, not lists. Null and blank texts are
     never cases.
     """
-    scored = outlier_scores(text_statistics(results.where(F.col("text").rlike(r"\S"))))
-    candidate = F.col("extreme") >= F.least(F.lit(-math.log(TAIL)), F.log(F.col("n_lang") + 1) * 0.999)
-    return scored.where(candidate & (F.col("n_sentence_ends") == 0) & (F.col("n_high") < 0.15 * F.col("n_chars"))).select("result_id")
+    scored = outlier_scores(text_statistics(results.where(F.col("text").rlike(r"\S")), "text"))
+    unclosed = count_of(CLOSED_END, F.col("text")) <= MOST_CLOSED * F.col("n_words")
+    # one expression, so that sentences are looked for only in the selected rows
+    return scored.where(F.when(outlying() & (F.col("n_high") < 0.15 * F.col("n_chars")), unclosed).otherwise(F.lit(False))).select("result_id")

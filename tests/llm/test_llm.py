@@ -209,6 +209,16 @@ def test_not_prose(results, rows):
     assert quality.not_prose(results.limit(0)).count() == 0
 
 
+def test_ranks_decide_what_is_no_prose(spark, rows):
+    prose = [(i, f"The field of run {i} is bounded, and it holds for all of the cases. We see that in the {'data ' * (i % 9 + 1)}of the paper.", "en") for i in range(60)]
+    listed = "\n".join(f"sparse bound {i} | 4.{i} | 7.{i}" for i in range(12))
+    junk = [(100, listed + "\nmain.tex", "en"), (101, listed + "\nhttps://www.example.org/a", "en"), (102, listed + "\nSmith et al., 2004", "en"), (103, listed, "en")]
+    # no sentence end, but every rank is that of prose
+    plain = [(200, "The field of the run is bounded, and it holds for all of the cases that we see in the data:", "en")]
+    df = spark.createDataFrame(prose + junk + plain, "result_id bigint, text string, lang_label string")
+    assert rows(quality.not_prose(df)) == [(100,), (101,), (102,), (103,)]
+
+
 def test_statistics(results):
     got = {r["result_id"]: r for r in quality.text_statistics(results).collect()}
     assert got[4]["text_length"] is None and got[4]["n_words"] == 0 and got[5]["text_length"] == 0
