@@ -184,7 +184,9 @@ def run_incremental(
     ``high`` defaults to the current maximum of ``sequence`` and is fixed before the first record is read. Returns the
     commit, or None if nothing is new. Records with a null sequence have no place in the order and are never taken.
     """
-    low = log.watermark()
+    # lower bound and number of the commit come from one reading: of overlapping runs only the first can commit
+    done = log.commits()
+    low = done[-1]["high"] if done else None
     top = source.agg(F.max(sequence)).first()[0]
     high = top if high is None else (None if top is None else min(high, top))
     if high is None or (low is not None and high <= low):
@@ -194,7 +196,7 @@ def run_incremental(
         bounds &= F.col(sequence) > F.lit(low)
     folder = f"run-{uuid.uuid4().hex}"
     transform(source.where(bounds)).write.parquet(f"{log.root}/data/{folder}")
-    record = {"n": len(log.commits()), "low": low, "high": int(high), "folder": folder}
+    record = {"n": len(done), "low": low, "high": int(high), "folder": folder}
     log.commit(record)
     return record
 

@@ -175,6 +175,22 @@ def test_runs_survive_a_crash(spark, rows):
         log.commit({"n": 1, "low": 0, "high": 1, "folder": "x"})
 
 
+def test_of_overlapping_runs_one_commits(spark):
+    source = spark.range(1, 101).withColumnRenamed("id", "seq")
+    log = inc.CommitLog(spark, scratch(spark, "runs"))
+    inc.run_incremental(source, "seq", lambda d: d, log, high=40)
+
+    def stalls(d):
+        inc.run_incremental(source, "seq", lambda x: x, log, high=90)
+        return d
+
+    with pytest.raises(RuntimeError):
+        inc.run_incremental(source, "seq", stalls, log, high=70)
+    assert log.watermark() == 90 and [c["n"] for c in log.commits()] == [0, 1] and log.clean() == 1
+    inc.run_incremental(source, "seq", lambda d: d, log)
+    assert sorted(r[0] for r in log.read().collect()) == list(range(1, 101))
+
+
 def test_numbering_is_the_same_for_any_partitioning(spark, rows):
     df = spark.createDataFrame([("hot" if i % 3 else None, i) for i in range(200)], "g string, i int")
     want = sorted(((g, i, n) for g in ("hot", None) for n, i in enumerate([i for i in range(200) if ("hot" if i % 3 else None) == g], 1)), key=repr)
