@@ -12,11 +12,12 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperlake.operators.outcome import counts_with_samples, summary_lines, tar_metrics
+from paperlake.operators.outcome import counts_with_samples, summary_lines, tar_metrics, unwritten_papers
 from paperlake.operators.text import MOST_OCTETS, TIMEOUT_S, extract_papers
+from paperlake.session import materialize
 from paperlake.sinks import shards
 from paperlake.sources.archives import read_papers
-from paperlake.sources.ledger import pending, read_ledger
+from paperlake.sources.ledger import open_tars, read_ledger, with_done
 
 FORMATS = {"parquet": "parquet", "jsonl": "jsonl", "json": "jsonl"}
 
@@ -60,11 +61,13 @@ def session(o: argparse.Namespace) -> SparkSession:
 
 def run(spark: SparkSession, o: argparse.Namespace) -> DataFrame | None:
     """Process a directory. Results are written first; metrics, samples and ledger are made from what was written, so
-    nothing is extracted twice. Returns the written rows."""
+    nothing is extracted twice; papers without a written row are counted by a second scan. Returns the written rows."""
     ledger_path, out = f"{o.output_dir}/checkpoint.log", f"{o.output_dir}/results"
-    papers = read_papers(spark, o.input_dir)
+    seen = read_papers(spark, o.input_dir).withColumn("done", F.lit(False))
     if o.resume:
-        papers = pending(papers, read_ledger(spark, ledger_path))
+        ledger = read_ledger(spark, ledger_path)
+        seen = with_done(open_tars(seen.drop("done"), ledger), ledger)
+    papers = seen.where("not done").drop("done")
     # papers of a large tar are spread over all tasks before they are extracted
     papers = papers.repartition(spark.sparkContext.defaultParallelism * 4, "source_tar", "arxiv_id")
     results = extract_papers(papers, o.timeout_secs, o.max_tex_bytes)
@@ -79,10 +82,11 @@ def run(spark: SparkSession, o: argparse.Namespace) -> DataFrame | None:
     else:
         shards.write_parquet(results, stage, rows)
         written = spark.read.parquet(stage)
-    for line in summary_lines(counts_with_samples(written)).toLocalIterator():
+    unwritten = materialize(unwritten_papers(seen), "unwritten")
+    for line in summary_lines(counts_with_samples(written, unwritten=unwritten)).toLocalIterator():
         print(line["line"], file=sys.stderr)
     if o.metrics:
-        shards.write_metrics(tar_metrics(written), f"{o.output_dir}/metrics")
+        shards.write_metrics(tar_metrics(written, unwritten), f"{o.output_dir}/metrics")
     shards.append_ledger(written, ledger_path, close_tars=True)
     return written
 

@@ -20,18 +20,31 @@ def outcome(status: Column, message: Column) -> Column:
     )
 
 
-def with_outcome(results: DataFrame) -> DataFrame:
-    return results.withColumn("outcome", outcome(F.col("status"), F.col("error_message")))
+def with_outcome(results: DataFrame, unwritten: DataFrame | None = None) -> DataFrame:
+    """Adds ``outcome``. With ``unwritten`` (arxiv_id, outer_tar, outcome) only these three columns, its rows included."""
+    rows = results.withColumn("outcome", outcome(F.col("status"), F.col("error_message")))
+    if unwritten is None:
+        return rows
+    return rows.select("arxiv_id", "outer_tar", "outcome").unionByName(unwritten)
 
 
-def counts_with_samples(results: DataFrame, by: list[str] | None = None) -> DataFrame:
+def unwritten_papers(seen: DataFrame) -> DataFrame:
+    """Papers (``done`` by an earlier run or not) of which no row is written: (arxiv_id, outer_tar, outcome). Done papers
+    are ``skipped_resume``; a defect without id, as of a truncated tar, is an ``archive_error``."""
+    lost = F.col("arxiv_id").isNull() | (F.col("arxiv_id") == "unknown")
+    return seen.where(F.col("done") | lost).select(
+        "arxiv_id", F.col("source_tar").alias("outer_tar"), F.when(F.col("done"), "skipped_resume").otherwise("archive_error").alias("outcome")
+    )
+
+
+def counts_with_samples(results: DataFrame, by: list[str] | None = None, unwritten: DataFrame | None = None) -> DataFrame:
     """Per outcome (and ``by``) the number of rows and up to five sample ids, the smallest ones.
 
     The samples come from a ranked window whose limit is pushed below the shuffle, so a hot outcome sends five rows per
     task; counts are a plain partial aggregation.
     """
     keys = [*(by or []), "outcome"]
-    rows = with_outcome(results)
+    rows = with_outcome(results, unwritten)
     total = rows.groupBy(*keys).agg(F.count("*").alias("n"))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy("arxiv_id"))
     ids = rows.select(*keys, "arxiv_id").withColumn("rank", rank).where(F.col("rank") <= SAMPLES)
@@ -40,9 +53,9 @@ def counts_with_samples(results: DataFrame, by: list[str] | None = None) -> Data
     return total.alias("t").join(samples.alias("s"), same, "left").select(*[f"t.{k}" for k in keys], "n", "samples")
 
 
-def tar_metrics(results: DataFrame) -> DataFrame:
+def tar_metrics(results: DataFrame, unwritten: DataFrame | None = None) -> DataFrame:
     """One row per tar and a grand total (null tar with is_total): a counter per outcome and the rows but for i/o errors."""
-    rows = with_outcome(results)
+    rows = with_outcome(results, unwritten)
     counters = [F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES]
     return rows.rollup("outer_tar").agg(F.grouping("outer_tar").cast("int").alias("is_total"), *counters, F.count_if(F.col("outcome") != "io_error").alias("total"))
 

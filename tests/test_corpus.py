@@ -223,3 +223,18 @@ def test_job_resumes(spark, tmp_path):
     assert job.output_format("JSON") == "jsonl"
     with pytest.raises(ValueError):
         job.output_format("xml")
+
+
+def test_metrics_count_papers_without_a_row(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "out").mkdir()
+    outer(tmp_path / "in" / "a.tar", ["1", "2", "3"])
+    outer(tmp_path / "in" / "b.tar", ["4"], bad="5.tex")
+    (tmp_path / "out" / "checkpoint.log").mkdir()
+    (tmp_path / "out" / "checkpoint.log" / "part-0.txt").write_text("a\t1\na\t2\n")
+    o = job.options(["-d", str(tmp_path / "in"), "-o", str(tmp_path / "out"), "--resume", "--metrics"])
+    assert sorted(r["arxiv_id"] for r in job.run(spark, o).where("status = 'ok'").collect()) == ["3", "4"]
+    got = {r["outer_tar"]: r for r in spark.read.json(str(tmp_path / "out" / "metrics")).collect()}
+    assert got["a.tar"]["skipped_resume"] == 2 and got["a.tar"]["ok"] == 1
+    # the entry above the limit, and the tar that ends in it
+    assert got["b.tar"]["archive_error"] == 2 and got[None]["total"] == 6
