@@ -311,7 +311,7 @@ def test_leaks_equal_brute_force():
     rng = random.Random(4)
     vocabulary = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(6) for j in range(6)]
     item = [rng.choice(vocabulary) for _ in range(60)]
-    items = leakage.prepare([(1, None, " ".join(item))])
+    items = leakage.prepare([(1, " ".join(item), 0)])
     for trial in range(60):
         n = rng.randint(8, 40)
         at = rng.randint(0, len(item) - n)
@@ -319,15 +319,40 @@ def test_leaks_equal_brute_force():
         for k in rng.sample(range(n), min(n, rng.randint(0, 4))):
             piece[k] = "other"
         doc = [rng.choice(vocabulary) for _ in range(9)] + piece + [rng.choice(vocabulary) for _ in range(9)]
-        found = leakage.search_shard([" ".join(doc)], items)
-        assert (found[0][4] if found else 0) == brute(doc, item), trial
+        for numbers in (None, {w: i + 1 for i, w in enumerate(sorted(set(item)))}):
+            found = leakage.search_shard(leakage.build_shard([" ".join(doc)], numbers), items)
+            assert (found[0][4] if found else 0) == brute(doc, item), trial
+
+
+@pytest.mark.parametrize("known", [False, True])
+def test_suffix_order_equals_sorting(known):
+    rng = random.Random(7)
+    for trial in range(60):
+        docs = [" ".join(rng.choice(["aa", "bb", "cc", "zz"]) for _ in range(rng.randint(0, 30))) for _ in range(3)]
+        s = leakage.build_shard([*docs, docs[0]], {"aa": 1, "bb": 2, "cc": 3} if known else None)
+        got = [tuple(s.ids[a:e]) for a, e in zip(s.suffixes, s.ends, strict=True)]
+        assert got == sorted(got), trial
 
 
 def test_leak_forms():
     item = "On rainy days a warm funnel keeps creaking above the barn although its friction reaches 9.906 newtons there"
-    items = leakage.prepare([(1, "s", "Read this instruction well. " + item), (2, "s", "Read this instruction well. Something else entirely stands in this second one of the suite"), (3, "s", None), (4, "s", "")])
+    items = leakage.prepare([(1, "Read this instruction well. " + item, 4), (2, "Read this instruction well. Something else entirely stands in this second one of the suite", 4), (3, None, 0), (4, "", 0)])
     text = "x ON RAINY DAYS, a warm fun-\nnel keeps creaking\r\nabove the barn although its friction   reaches 9.906 newtons y"
-    assert [(n, k) for n, k, *_ in leakage.search_shard([text, None, "", "Read this instruction well. " * 9], items)] == [(0, 0)]
+    shard = leakage.build_shard([text, None, "", "Read this instruction well. " * 9])
+    assert [(n, k) for n, k, *_ in leakage.search_shard(shard, items)] == [(0, 0)]
+
+
+OPENING = "Please read the whole question with great care before you give a short and exact answer in the words of the text"
+
+
+@pytest.mark.parametrize("suite", ["s", None])
+@pytest.mark.parametrize("octets", [700, 4_000_000])
+def test_instruction_never_counts(spark, rows, suite, octets):
+    """Most items go on with the same word; the others leave out the instruction all the same, in blocks of any size."""
+    own = [" ".join(f"{chr(97 + i)}{chr(97 + j % 26)}x{'q' * (j // 26)}" for j in range(30)) for i in range(10)]
+    items = spark.createDataFrame([(i, suite, f"{OPENING} {'a' if i < 7 else 'the'} {t}", 1) for i, t in enumerate(own)], "item_id bigint, suite string, text string, n_words int")
+    docs = spark.createDataFrame([(1, f"We say: {OPENING} a b c."), (2, f"{OPENING} the {own[9]}"), (3, own[2]), (4, " ".join(own[5].split()[:13])), (5, None)], "doc_id bigint, text string")
+    assert rows(leakage.leaks(docs, items, octets).select("doc_id", "item_id")) == [(2, 9), (3, 2)]
 
 
 def test_leak_rows(spark, rows):
