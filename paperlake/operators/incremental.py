@@ -14,16 +14,22 @@ Two cooperating parts:
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperlake.session import fs
 
 #: A tar can hold a third of all papers, so the one-row-per-tar side is repeated this often and the papers are spread.
 SALTS = 16
+#: Output that no commit names is given up after this long without a write.
+LEASE_S = 24 * 3600
+#: Folders of a commit: results, ledger lines, next shard numbers.
+PARTS = ("data", "ledger", "shards")
 
 
 def strip_all(c: Column) -> Column:
@@ -113,6 +119,11 @@ def pending_papers(entries: DataFrame, ledger: DataFrame, upper: int | None = No
     return per_paper.where(~F.col("newest.handled") & changed).select("source_tar", "arxiv_id")
 
 
+def new_folder() -> str:
+    """A name for the output of a run; runs are the partitions of what is read."""
+    return f"_run={uuid.uuid4().hex}"
+
+
 class CommitLog:
     """Committed runs of one job: ``_commits/<n>.json`` names the output folder and the watermark of run ``n``."""
 
@@ -140,8 +151,8 @@ class CommitLog:
         return done[-1]["high"] if done else None
 
     def commit(self, record: dict) -> None:
-        """Publish run ``record['n']``. The file is written aside and renamed; a rename onto an existing name fails,
-        so of two runs that started from the same watermark only one can win."""
+        """Publish run ``record['n']``. The file is written aside and renamed; the rename fails if the name is taken, so
+        of two runs that started from the same watermark only one can win."""
         target = f"{self.root}/_commits/{record['n']:012d}.json"
         system, final = fs(self.spark, target)
         system.mkdirs(final.getParent())
@@ -149,27 +160,37 @@ class CommitLog:
         stream = system.create(aside, False)
         stream.write(bytearray(json.dumps(record).encode()))
         stream.close()
-        if system.exists(final) or not system.rename(aside, final):
+        jvm, gateway = self.spark._jvm, self.spark.sparkContext._gateway
+        never_over = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        never_over[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), self.spark._jsc.hadoopConfiguration())
+        try:
+            context.rename(system.makeQualified(aside), system.makeQualified(final), never_over)
+        except Py4JJavaError as taken:
             system.delete(aside, False)
-            raise RuntimeError(f"run {record['n']} was committed by another process")
-
-    def clean(self) -> int:
-        """Remove output folders that no commit names (left by runs that died). Returns how many."""
-        system, path = fs(self.spark, f"{self.root}/data")
-        if not system.exists(path):
-            return 0
-        kept = {c["folder"] for c in self.commits()}
-        stale = [s.getPath() for s in system.listStatus(path) if s.getPath().getName() not in kept]
-        for p in stale:
-            system.delete(p, True)
-        return len(stale)
-
-    def read(self) -> DataFrame | None:
+            raise RuntimeError(f"run {record['n']} was committed by another process") from taken
+
+    def clean(self, lease_s: float = LEASE_S) -> int:
+        """Remove output folders that no commit names and that nothing was written to for ``lease_s`` seconds (left by
+        runs that died; a run in progress keeps its own). Returns how many."""
+        removed, kept = 0, {c["folder"] for c in self.commits()}
+        for part in PARTS:
+            system, path = fs(self.spark, f"{self.root}/{part}")
+            for status in system.listStatus(path) if system.exists(path) else []:
+                inside = [s.getModificationTime() for s in system.listStatus(status.getPath())] if status.isDirectory() else []
+                idle = time.time() - max([status.getModificationTime(), *inside]) / 1000
+                if status.getPath().getName() not in kept and idle >= lease_s:
+                    removed += bool(system.delete(status.getPath(), True)) and part == "data"
+        return removed
+
+    def folders(self, part: str = "data") -> list[str]:
+        """Paths that the commits name, of the results or of what was committed with them."""
+        return [f"{self.root}/{part}/{c['folder']}" for c in self.commits() if c["folder"] and part in c.get("parts", PARTS[:1])]
+
+    def read(self, kind: str = "parquet") -> DataFrame | None:
         """Everything committed so far, and nothing else."""
-        done = [c for c in self.commits() if c["folder"]]
-        if not done:
-            return None
-        return self.spark.read.parquet(*[f"{self.root}/data/{c['folder']}" for c in done])
+        done = self.folders()
+        return self.spark.read.option("basePath", f"{self.root}/data").format(kind).load(done).drop("_run") if done else None
 
 
 def run_incremental(
@@ -194,14 +215,8 @@ def run_incremental(
     bounds = F.col(sequence) <= F.lit(high)
     if low is not None:
         bounds &= F.col(sequence) > F.lit(low)
-    folder = f"run-{uuid.uuid4().hex}"
+    folder = new_folder()
     transform(source.where(bounds)).write.parquet(f"{log.root}/data/{folder}")
     record = {"n": len(done), "low": low, "high": int(high), "folder": folder}
     log.commit(record)
     return record
-
-
-def newest_revision(entries: DataFrame) -> DataFrame:
-    """The newest delivery of every paper, one row each, texts dropped (used by the incremental demonstration query)."""
-    w = Window.partitionBy("source_tar", "arxiv_id").orderBy(F.desc("received_at"), F.desc("entry_seq"))
-    return entries.select("source_tar", "arxiv_id", "entry_seq", "received_at").withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")

@@ -28,13 +28,10 @@ def with_outcome(results: DataFrame, unwritten: DataFrame | None = None) -> Data
     return rows.select("arxiv_id", "outer_tar", "outcome").unionByName(unwritten)
 
 
-def unwritten_papers(seen: DataFrame) -> DataFrame:
-    """Papers (``done`` by an earlier run or not) of which no row is written: (arxiv_id, outer_tar, outcome). Done papers
-    are ``skipped_resume``; a defect without id, as of a truncated tar, is an ``archive_error``."""
-    lost = F.col("arxiv_id").isNull() | (F.col("arxiv_id") == "unknown")
-    return seen.where(F.col("done") | lost).select(
-        "arxiv_id", F.col("source_tar").alias("outer_tar"), F.when(F.col("done"), "skipped_resume").otherwise("archive_error").alias("outcome")
-    )
+def unwritten_papers(extracted: DataFrame) -> DataFrame:
+    """Of extracted papers (with ``unwritten``) those that get no row: (arxiv_id, outer_tar, outcome). Papers done by an
+    earlier run are ``skipped_resume``; a defect without id, as of a truncated tar, is an ``archive_error``."""
+    return extracted.where("unwritten is not null").select("arxiv_id", "outer_tar", F.col("unwritten").alias("outcome"))
 
 
 def counts_with_samples(results: DataFrame, by: list[str] | None = None, unwritten: DataFrame | None = None) -> DataFrame:

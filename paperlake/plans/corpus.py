@@ -4,19 +4,20 @@ from __future__ import annotations
 
 import gzip
 import io
-import os
 import tarfile
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from paperlake import job
 from paperlake.functions import columns, includes
 from paperlake.operators import outcome, relational, text
 from paperlake.operators.numbering import numbered
 from paperlake.session import scratch, spread, table
 from paperlake.sinks import shards
 from paperlake.sources import ledger
-from paperlake.sources.archives import read_papers
+from paperlake.sources.archives import locate, read_papers
 from paperlake.streaming.ingest import ingest, late_counts, stream_papers
 
 STAGED = "array<struct<name:string,content:string>>"
@@ -74,32 +75,153 @@ def src_entry_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
                     columns.output_stem(F.col("source_tar")).alias("stem"), columns.safe_id(F.col("entry_name")).alias("safe"))
 
 
-def _write_tars(folder: str, rows: list) -> None:
-    """One outer tar per region with a gzipped paper per nation, plus an entry that claims to be too large."""
-    os.makedirs(folder, exist_ok=True)
+def _put(folder: str, name: str, raw: bytes) -> None:
+    store, place = locate(folder)
+    store.create_dir(place, recursive=True)
+    with store.open_output_stream(f"{place}/{name}", compression=None) as out:
+        out.write(raw)
+
+
+def _tar(members: list[tuple[str, bytes]], claims: str | None = None) -> bytes:
+    """Octets of a tar; ``claims`` adds a last entry that says it has 200 MB but has none."""
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode="w") as tar:
+        for name, raw in members:
+            info = tarfile.TarInfo(name)
+            info.size = len(raw)
+            tar.addfile(info, io.BytesIO(raw))
+        if claims:
+            info = tarfile.TarInfo(claims)
+            info.size = 200_000_000
+            out.write(info.tobuf())
+            return out.getvalue()
+    return out.getvalue()
+
+
+def _document(text: str) -> str:
+    return f"\\documentclass{{a}}\\begin{{document}}{text}\\end{{document}}"
+
+
+def _nations(spark: SparkSession, sf_dir: str) -> list:
+    """nation is a fixed table of 25 rows."""
+    return table(spark, sf_dir, "nation").orderBy("n_nationkey").collect()
+
+
+def _by_region(nations: list) -> dict[int, list]:
     by: dict[int, list] = {}
-    for r in rows:
+    for r in nations:
         by.setdefault(r["n_regionkey"], []).append(r)
-    for region, nations in by.items():
-        with tarfile.open(f"{folder}/region_{region}.tar", "w") as tar:
-            for r in nations:
-                raw = gzip.compress(f"\\begin{{document}}{r['n_name']}\\end{{document}}".encode(), mtime=0)
-                info = tarfile.TarInfo(f"0101/{r['n_nationkey']:05d}.gz")
-                info.size = len(raw)
-                tar.addfile(info, io.BytesIO(raw))
+    return by
+
+
+def _write_tars(folder: str, nations: list, claims: str | None = None) -> None:
+    """One outer tar per region with a gzipped paper per nation."""
+    for region, members in _by_region(nations).items():
+        packed = [(f"0101/{r['n_nationkey']:05d}.gz", gzip.compress(_document(r["n_name"]).encode(), mtime=0)) for r in members]
+        _put(folder, f"region_{region}.tar", _tar(packed, claims))
 
 
 def src_tar_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = scratch(spark, "tars").removeprefix("file:")
-    # nation is a fixed table of 25 rows
-    _write_tars(folder, table(spark, sf_dir, "nation").collect())
+    folder = scratch(spark, "tars")
+    _write_tars(folder, _nations(spark, sf_dir))
     done = text.extract_papers(read_papers(spark, folder))
     return done.select("outer_tar", "arxiv_id", "status", "file_type", "entry_name", "text", F.col("num_tex_files").alias("files"))
 
 
+def src_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outer tars whose entries are compressed tars of several files, plain sources, PDFs and others, by turns."""
+    folder = scratch(spark, "nested")
+    for region, members in _by_region(_nations(spark, sf_dir)).items():
+        packed = []
+        for r in members:
+            k, n = r["n_nationkey"], r["n_name"]
+            inner = _tar([("main.tex", _document(f"\\input{{sec/a}} of {n} \\bibliography{{lost}}").encode()), ("sec/a.tex", b"Part"), ("fig.png", b"x"), ("refs.bbl", b"BIB")])
+            packed.append([(f"{k}.tar.gz", gzip.compress(inner, mtime=0)), (f"{k}.tex", _document(n).encode()), (f"{k}.pdf", b"%PDF-1.4"), (f"{k}.gz", gzip.compress(b"%!PS x", mtime=0)), (f"{k}.txt", b"x")][k % 5])
+        _put(folder, f"r{region}.tar", _tar(packed))
+    papers = read_papers(spark, folder).withColumn("files", F.array_join("tex_files.name", ","))
+    return text.extract_papers(papers).select("arxiv_id", "status", "file_type", "text", "num_tex_files").join(papers.select("arxiv_id", "files"), "arxiv_id")
+
+
+def src_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder without outer tars: compressed files, compressed and plain tars under a compressed name, sources."""
+    folder = scratch(spark, "files")
+    for r in _nations(spark, sf_dir):
+        k, source = r["n_nationkey"], _document(r["n_name"]).encode()
+        inner = _tar([("main.tex", source)])
+        name, raw = [(f"{k}.gz", gzip.compress(source, mtime=0)), (f"{k}.tar.gz", gzip.compress(inner, mtime=0)), (f"{k}.tgz", inner), (f"{k}.tex", source), (f"{k}.gz", b"no archive")][k % 5]
+        _put(folder, name, raw)
+    return text.extract_papers(read_papers(spark, folder)).select("arxiv_id", "status", "file_type", "text", "num_tex_files", "outer_tar")
+
+
+def src_encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources as UTF-8 with and without its mark, UTF-16 of both orders, and Windows-1252."""
+    folder = scratch(spark, "encodings")
+    for r in _nations(spark, sf_dir):
+        k, source = r["n_nationkey"], _document(f"{r['n_name']} café – “x”")
+        raw = [source.encode(), b"\xef\xbb\xbf" + source.encode(), b"\xff\xfe" + source.encode("utf-16-le"), b"\xfe\xff" + source.encode("utf-16-be"), source.encode("cp1252")][k % 5]
+        _put(folder, f"{k}.tex", raw)
+    return text.extract_papers(read_papers(spark, folder)).select("arxiv_id", "status", "text")
+
+
+def src_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every outer tar ends with an entry that claims 200 MB and has none: an error row for the entry, and the defect of
+    the tar itself, which has no id and gives no row."""
+    folder = scratch(spark, "defects")
+    _write_tars(folder, _nations(spark, sf_dir), "0101/huge.pdf")
+    done = text.extract_papers(read_papers(spark, folder), keep_unwritten=True)
+    return done.groupBy("outer_tar", "status", "file_type", "unwritten").agg(F.count("*").alias("n"), F.max("error_message").alias("message")).withColumn(
+        "message", F.when(F.col("unwritten").isNull(), F.col("message"))
+    )
+
+
+def _job(folder: str, out: str, *more: str):
+    return job.options(["-d", folder, "-o", out, *more])
+
+
+class _Killed(Exception):
+    pass
+
+
+def _kill() -> None:
+    raise _Killed
+
+
+def job_kill_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over some tars; one over all of them that dies between writing and committing; the same once more. Every
+    paper comes out once, with the shard that holds it."""
+    folder, out, nations = scratch(spark, "job-in"), scratch(spark, "job-out"), _nations(spark, sf_dir)
+    _write_tars(folder, [r for r in nations if r["n_regionkey"] < 2])
+    job.run(spark, _job(folder, out, "--resume"))
+    _write_tars(folder, nations)
+    with suppress(_Killed):
+        job.run(spark, _job(folder, out, "--resume"), before_commit=_kill)
+    job.run(spark, _job(folder, out, "--resume"))
+    return job.read_results(spark, out).groupBy("outer_tar", "arxiv_id", "text").agg(F.count("*").alias("n"), F.count_if(F.col("shard_id").startswith(F.regexp_replace("outer_tar", ".tar$", ""))).alias("placed"))
+
+
+def job_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rows a shard at most, and another run whose shards hold 600 estimated octets at most before the last row."""
+    folder, by_rows, by_octets = (scratch(spark, n) for n in ("job-in", "by-rows", "by-octets"))
+    _write_tars(folder, _nations(spark, sf_dir))
+    job.run(spark, _job(folder, by_rows, "--max-shard-rows", "2"))
+    job.run(spark, _job(folder, by_octets, "--max-shard-bytes", "600"))
+    found = [job.read_results(spark, d).groupBy("outer_tar", "shard_id").agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "outer_tar", "n") for kind, d in (("rows", by_rows), ("octets", by_octets))]
+    return found[0].unionByName(found[1]).groupBy("kind", "outer_tar").agg(F.sum("n").alias("n_rows"), (F.max("n") <= F.when(F.col("kind") == "rows", 2).otherwise(3)).alias("kept"), (F.count("*") > 1).alias("several"))
+
+
+def job_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text files of a run and its metrics files, read again."""
+    folder, out = scratch(spark, "job-in"), scratch(spark, "job-out")
+    _write_tars(folder, _nations(spark, sf_dir))
+    job.run(spark, _job(folder, out, "--text-files", "--metrics"))
+    texts = spark.read.option("wholetext", True).text(f"{out}/*.txt").select("value", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*)\.txt$", 1).alias("name"))
+    metrics = spark.read.option("multiLine", True).json(f"{out}/metrics/*_metrics.json").select(F.coalesce("outer_tar", F.lit("total")).alias("name"), F.format_string("%d of %d", "ok", "total").alias("value"))
+    return texts.unionByName(metrics)
+
+
 def out_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: every delivered paper to its result row."""
-    return text.extract_papers(spread(papers_of_entries(spark, sf_dir), "source_tar", "arxiv_id")).drop("stage_timings_us", "total_time_us")
+    return text.extract_papers(spread(papers_of_entries(spark, sf_dir), "source_tar", "arxiv_id")).drop("stage_timings_us", "total_time_us", "peak_memory_bytes")
 
 
 def out_size_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,7 +333,7 @@ def str_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    out_extract, out_size_guard, out_outcomes, out_tar_metrics, inc_root_order, inc_main_file, inc_template, inc_closure, src_entry_kind, src_tar_scan, led_lines, led_pending,
+    out_extract, out_size_guard, out_outcomes, out_tar_metrics, inc_root_order, inc_main_file, inc_template, inc_closure, src_entry_kind, src_tar_scan, src_nested, src_files, src_encodings, src_defects, job_kill_resume, job_limits, job_texts, led_lines, led_pending,
     led_resume_counts, snk_shards, snk_octets, snk_jsonl, snk_parquet, num_rows, rel_sections, rel_labels, rel_citations, rel_floats, str_ingest, str_windows,
 )}
 
@@ -233,6 +355,27 @@ FROM entries""",
     "src_tar_scan": """
 SELECT 'region_' || n_regionkey || '.tar' AS outer_tar, lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS arxiv_id, 'ok' AS status, 'tex' AS file_type,
   '0101/' || lpad(CAST(n_nationkey AS VARCHAR), 5, '0') || '.gz' AS entry_name, n_name AS text, CAST(1 AS INTEGER) AS files FROM nation""",
+    "src_nested": r"""
+SELECT n_nationkey || CASE WHEN n_nationkey % 5 = 4 THEN '.txt' ELSE '' END AS arxiv_id, CASE WHEN n_nationkey % 5 < 2 THEN 'ok' ELSE 'empty' END AS status,
+  CASE n_nationkey % 5 WHEN 2 THEN 'pdf' WHEN 3 THEN 'postscript' WHEN 4 THEN 'unknown' ELSE 'tex' END AS file_type,
+  CASE n_nationkey % 5 WHEN 0 THEN 'Part of ' || n_name || ' BIB' || chr(10) || 'BIB' WHEN 1 THEN n_name END AS text, CAST(CASE n_nationkey % 5 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 0 END AS INTEGER) AS num_tex_files,
+  CASE n_nationkey % 5 WHEN 0 THEN 'main.tex,sec/a.tex,refs.bbl' WHEN 1 THEN n_nationkey || '.tex' ELSE '' END AS files FROM nation""",
+    "src_files": r"""
+SELECT CAST(n_nationkey AS VARCHAR) AS arxiv_id, CASE WHEN n_nationkey % 5 < 4 THEN 'ok' ELSE 'empty' END AS status, CASE WHEN n_nationkey % 5 < 4 THEN 'tex' ELSE 'unknown' END AS file_type,
+  CASE WHEN n_nationkey % 5 < 4 THEN n_name END AS text, CAST(CASE WHEN n_nationkey % 5 < 4 THEN 1 ELSE 0 END AS INTEGER) AS num_tex_files, CAST(NULL AS VARCHAR) AS outer_tar FROM nation""",
+    "src_encodings": "SELECT CAST(n_nationkey AS VARCHAR) AS arxiv_id, 'ok' AS status, n_name || ' café – “x”' AS text FROM nation",
+    "src_defects": """
+WITH r AS (SELECT 'region_' || n_regionkey || '.tar' AS outer_tar, count(*) AS n FROM nation GROUP BY ALL)
+SELECT outer_tar, 'ok' AS status, 'tex' AS file_type, CAST(NULL AS VARCHAR) AS unwritten, n, CAST(NULL AS VARCHAR) AS message FROM r
+UNION ALL SELECT outer_tar, 'archive_error', 'pdf', NULL, 1, 'entry 0101/huge.pdf has 200000000 bytes, exceeds 100MB limit' FROM r
+UNION ALL SELECT outer_tar, 'archive_error', 'unknown', 'archive_error', 1, NULL FROM r""",
+    "job_kill_resume": "SELECT 'region_' || n_regionkey || '.tar' AS outer_tar, lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS arxiv_id, n_name AS text, 1 AS n, 1 AS placed FROM nation",
+    "job_limits": """
+SELECT kind, 'region_' || n_regionkey || '.tar' AS outer_tar, count(*) AS n_rows, true AS kept, true AS several FROM nation, (VALUES ('rows'), ('octets')) k(kind) GROUP BY ALL""",
+    "job_texts": """
+SELECT n_name AS value, lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS name FROM nation
+UNION ALL SELECT count(*) || ' of ' || count(*), 'region_' || n_regionkey || '.tar' FROM nation GROUP BY n_regionkey
+UNION ALL SELECT count(*) || ' of ' || count(*), 'total' FROM nation""",
     "out_size_guard": """
 SELECT source_tar, count(*) FILTER (WHERE list_sum(list_transform(tex_files, lambda f: strlen(f.content))) > 2000) AS too_large, count(*) AS n FROM entries WHERE arxiv_id <> 'unknown' GROUP BY source_tar""",
     "out_outcomes": """

@@ -27,7 +27,7 @@ def p1_watermarked_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     try:
         inc.run_incremental(entries, "entry_seq", dies, log, top * 2 // 3)
     except InterruptedError:
-        log.clean()
+        log.clean(lease_s=0)
     inc.run_incremental(entries, "entry_seq", lambda d: d, log, top * 2 // 3)
     inc.run_incremental(entries, "entry_seq", lambda d: d, log)
     done = log.read()

@@ -56,7 +56,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Hint a broadcast only when the optimizer's own size estimate is below the limit; else leave the join to AQE."""
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return F.broadcast(df) if int(size.toString()) <= limit else df
+    return F.broadcast(df) if int(str(size)) <= limit else df
 
 
 def fs(spark: SparkSession, path: str):

@@ -2,20 +2,22 @@
 
 ``spark.read.format("paper_archives").load(dir)`` gives one row per paper (schema.PAPER). Each outer tar, or each
 archive file where there are no tars, is one input partition, and rows are yielded while the tar is read, so one paper is
-in memory at a time. Wanted ids can be withheld before anything is decompressed (option ``done``: a JSON list of
-"tar<TAB>id" is not needed; resume by anti-join is done in the plan).
+in memory at a time. Tars named by the option ``closed`` (a JSON list of file names) become no partition and are never
+opened. Paths are local or URIs of any store that pyarrow reads (hdfs, s3, gs, ...).
 """
 
 from __future__ import annotations
 
 import gzip
 import io
-import os
+import json
+import posixpath
 import re
 import tarfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
+from pyarrow import fs as stores
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -118,9 +120,10 @@ def entry(path: str, size: int, read) -> dict:
 
 def papers_of_tar(path: str) -> Iterator[dict]:
     """Every paper of an outer tar; a defect of the tar itself ends it with a row without id."""
-    name = os.path.basename(path)
+    name = posixpath.basename(path)
     try:
-        with tarfile.open(path, mode="r|") as tar:
+        store, place = locate(path)
+        with store.open_input_stream(place, compression=None) as stream, tarfile.open(fileobj=stream, mode="r|") as tar:
             for member in tar:
                 if member.name.endswith("/") or member.isdir():
                     continue
@@ -145,7 +148,8 @@ def paper_of_file(path: str) -> dict:
     """An archive by itself: for compressed names a plain tar, a compressed tar or a compressed file, in this order."""
     row = {"source_tar": None, "entry_name": path, "arxiv_id": paper_id(path), "file_type": "tex", "tex_files": [], "error": None}
     try:
-        with open(path, "rb") as stream:
+        store, place = locate(path)
+        with store.open_input_stream(place, compression=None) as stream:
             raw = stream.read()
     except OSError as defect:
         return row | {"file_type": None, "tex_files": None, "error": str(defect)}
@@ -157,15 +161,21 @@ def paper_of_file(path: str) -> dict:
             pass
         row["file_type"], row["tex_files"] = from_gzip(raw, row["arxiv_id"])
     elif path.endswith(".tex"):
-        row["tex_files"] = [{"name": os.path.basename(path), "content": decode(raw)}]
+        row["tex_files"] = [{"name": posixpath.basename(path), "content": decode(raw)}]
     return row
 
 
+def locate(path: str) -> tuple[stores.FileSystem, str]:
+    """The store of a path or URI, and the path inside it."""
+    return stores.FileSystem.from_uri(path) if "://" in path else (stores.LocalFileSystem(), path.removeprefix("file:"))
+
+
 def listing(directory: str) -> tuple[list[str], bool]:
     """(paths in order, whether they are outer tars). One ``.tar`` among the names makes all others be left aside."""
-    names = sorted(n for n in os.listdir(directory) if n.endswith(LISTED) and os.path.isfile(os.path.join(directory, n)))
+    store, place = locate(directory)
+    names = sorted(f.base_name for f in store.get_file_info(stores.FileSelector(place)) if f.type == stores.FileType.File and f.base_name.endswith(LISTED))
     tars = [n for n in names if n.endswith(".tar")]
-    return [os.path.join(directory, n) for n in tars or names], bool(tars)
+    return [posixpath.join(directory, n) for n in tars or names], bool(tars)
 
 
 class _Archive(InputPartition):
@@ -176,15 +186,18 @@ class _Archive(InputPartition):
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
-        self.path = options["path"]
+        self.path, self.closed = options["path"], set(json.loads(options.get("closed", "[]")))
 
     def partitions(self) -> list[_Archive]:
-        if os.path.isfile(self.path):
+        store, place = locate(self.path)
+        if store.get_file_info(place).type == stores.FileType.File:
             return [_Archive(self.path, self.path.endswith(".tar"))]
         paths, outer = listing(self.path)
-        return [_Archive(p, outer) for p in paths]
+        return [_Archive(p, outer) for p in paths if not (outer and posixpath.basename(p) in self.closed)]
 
-    def read(self, partition: _Archive) -> Iterator[tuple]:
+    def read(self, partition: _Archive | None) -> Iterator[tuple]:
+        if partition is None:  # Spark's one empty partition where there is nothing to read
+            return
         rows = papers_of_tar(partition.path) if partition.outer else [paper_of_file(partition.path)]
         for row in rows:
             files = None if row["tex_files"] is None else [(f["name"], f["content"]) for f in row["tex_files"]]
@@ -203,7 +216,12 @@ class PaperArchives(DataSource):
         return _Reader(self.options)
 
 
-def read_papers(spark: SparkSession, path: str) -> DataFrame:
-    """Papers of a directory of archives or of a single one."""
+def read_papers(spark: SparkSession, path: str, closed: Iterable[str] = ()) -> DataFrame:
+    """Papers of a directory of archives or of a single one, but for tars named in ``closed``."""
     spark.dataSource.register(PaperArchives)
-    return spark.read.format("paper_archives").load(path)
+    return spark.read.format("paper_archives").option("closed", json.dumps(sorted(closed))).load(path)
+
+
+def collect_papers(path: str) -> list[dict]:
+    """All papers of one outer tar at once, without Spark (for small tars and tests)."""
+    return list(papers_of_tar(path))

@@ -6,20 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperlake.operators.incremental import strip_all
-from paperlake.operators.relational import spread
 from paperlake.schema import LEDGER
 from paperlake.session import fs
 
-SALTS = 16
 
-
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of a ledger: a name alone closes a tar, a name and an id (parted by a tab) log one paper. Blank lines and a
-    ledger that does not exist give nothing."""
-    system, p = fs(spark, path)
-    if not system.exists(p):
-        return spark.createDataFrame([], LEDGER)
-    return parse_lines(spark.read.text(path))
+def read_ledger(spark: SparkSession, *paths: str) -> DataFrame:
+    """Lines of ledgers: a name alone closes a tar, a name and an id (parted by a tab) log one paper. Blank lines and
+    ledgers that do not exist give nothing."""
+    there = [p for p in paths if (found := fs(spark, p))[0].exists(found[1])]
+    return parse_lines(spark.read.text(there)) if there else spark.createDataFrame([], LEDGER)
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
@@ -38,13 +33,15 @@ def open_tars(papers: DataFrame, ledger: DataFrame) -> DataFrame:
     return papers.join(closed_tars(ledger), "source_tar", "left_anti")
 
 
-def with_done(papers: DataFrame, ledger: DataFrame) -> DataFrame:
+def with_done(papers: DataFrame, ledger: DataFrame, partitions: int | None = None) -> DataFrame:
     """Adds ``done``: whether a line logs the paper. The key (stem, id) is unique on the right and fine enough to spread
-    a hot stem."""
-    stem = F.regexp_replace("source_tar", r"\.tar$", "")
-    logged = ledger.where("arxiv_id is not null").select(F.col("stem").alias("_stem"), F.col("arxiv_id").alias("_id")).distinct()
-    joined = papers.join(logged, (stem == F.col("_stem")) & (F.col("arxiv_id") == F.col("_id")), "left")
-    return joined.withColumn("done", F.col("_id").isNotNull()).drop("_stem", "_id")
+    a hot stem. With ``partitions`` papers are spread by it once, and the join finds them in place."""
+    stemmed = papers.withColumn("_stem", F.regexp_replace("source_tar", r"\.tar$", ""))
+    if partitions:
+        stemmed = stemmed.repartition(partitions, "_stem", "arxiv_id")
+    logged = ledger.where("arxiv_id is not null").select(F.col("stem").alias("_stem"), "arxiv_id", F.lit(True).alias("_logged")).distinct()
+    joined = stemmed.join(logged, ["_stem", "arxiv_id"], "left")
+    return joined.select(*papers.columns, F.coalesce("_logged", F.lit(False)).alias("done"))
 
 
 def pending(papers: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -52,4 +49,4 @@ def pending(papers: DataFrame, ledger: DataFrame) -> DataFrame:
     return with_done(open_tars(papers, ledger), ledger).where("not done").drop("done")
 
 
-__all__ = ["closed_tars", "open_tars", "parse_lines", "pending", "read_ledger", "spread", "with_done"]
+__all__ = ["closed_tars", "open_tars", "parse_lines", "pending", "read_ledger", "with_done"]

@@ -67,7 +67,7 @@ def test_single_archives(spark, tmp_path):
     assert {k: (r["status"], r["file_type"], r["num_tex_files"]) for k, r in got.items()} == {
         "a": ("ok", "tex", 1), "b": ("ok", "tex", 2), "c": ("ok", "tex", 1), "d": ("empty", "unknown", 0), "e": ("empty", "pdf", 0),
     }
-    assert got["a"]["text_length"] == len("Paper a.") and got["a"]["peak_memory_bytes"] is None
+    assert got["a"]["text_length"] == len("Paper a.") and got["a"]["peak_memory_bytes"] > 1_000_000
 
 
 @pytest.mark.parametrize(("raw", "kind"), [(b"", "unknown"), (b"%PDF-1", "pdf"), (b"%!PS-Adobe", "postscript"), (b"<!DOCTYPE html>", "html"), (b"<HTML>", "html"), (b"\\doc", "tex")])
@@ -167,7 +167,7 @@ def test_runs_survive_a_crash(spark, rows):
 
     with pytest.raises(OSError):
         inc.run_incremental(source, "seq", dies, log, high=70)
-    assert log.watermark() == 40 and log.clean() == 1
+    assert log.watermark() == 40 and log.clean(0) == 1
     inc.run_incremental(source, "seq", lambda d: d, log)
     assert inc.run_incremental(source, "seq", lambda d: d, log) is None
     assert sorted(r[0] for r in log.read().collect()) == list(range(1, 101))
@@ -186,7 +186,7 @@ def test_of_overlapping_runs_one_commits(spark):
 
     with pytest.raises(RuntimeError):
         inc.run_incremental(source, "seq", stalls, log, high=70)
-    assert log.watermark() == 90 and [c["n"] for c in log.commits()] == [0, 1] and log.clean() == 1
+    assert log.watermark() == 90 and [c["n"] for c in log.commits()] == [0, 1] and log.clean(0) == 1
     inc.run_incremental(source, "seq", lambda d: d, log)
     assert sorted(r[0] for r in log.read().collect()) == list(range(1, 101))
 
@@ -234,7 +234,77 @@ def test_metrics_count_papers_without_a_row(spark, tmp_path):
     (tmp_path / "out" / "checkpoint.log" / "part-0.txt").write_text("a\t1\na\t2\n")
     o = job.options(["-d", str(tmp_path / "in"), "-o", str(tmp_path / "out"), "--resume", "--metrics"])
     assert sorted(r["arxiv_id"] for r in job.run(spark, o).where("status = 'ok'").collect()) == ["3", "4"]
-    got = {r["outer_tar"]: r for r in spark.read.json(str(tmp_path / "out" / "metrics")).collect()}
+    got = {r["outer_tar"]: r for r in spark.read.option("multiLine", True).json(str(tmp_path / "out" / "metrics")).collect()}
     assert got["a.tar"]["skipped_resume"] == 2 and got["a.tar"]["ok"] == 1
     # the entry above the limit, and the tar that ends in it
     assert got["b.tar"]["archive_error"] == 2 and got[None]["total"] == 6
+
+
+def test_job_survives_a_kill(spark, tmp_path):
+    """A run that dies before its commit leaves nothing visible; the next one brings every paper once and goes on with
+    the shard numbers."""
+    (tmp_path / "in").mkdir()
+    outer(tmp_path / "in" / "a.tar", ["1", "2", "3"])
+    for kind in ("parquet", "jsonl"):
+        out = str(tmp_path / kind)
+        o = job.options(["-d", str(tmp_path / "in"), "-o", out, "--resume", "--output-format", kind, "--papers-per-shard", "2"])
+
+        def die():
+            raise KeyboardInterrupt
+
+        with pytest.raises(KeyboardInterrupt):
+            job.run(spark, o, before_commit=die)
+        assert job.read_results(spark, out, kind) is None and job.logged(spark, o, job.commit_log(spark, out)).count() == 0
+        job.run(spark, o)
+        job.run(spark, o)
+        assert sorted(r["arxiv_id"] for r in job.read_results(spark, out, kind).collect()) == ["1", "2", "3"]
+        assert job.commit_log(spark, out).clean(0) == 1
+    assert {r["shard_id"] for r in job.read_results(spark, str(tmp_path / "parquet")).collect()} <= {"a", "a_001", "a_002"}
+
+
+def test_two_jobs_at_once(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    outer(tmp_path / "in" / "a.tar", ["1"])
+    o = job.options(["-d", str(tmp_path / "in"), "-o", str(tmp_path / "out"), "--resume"])
+    with pytest.raises(RuntimeError):
+        job.run(spark, o, before_commit=lambda: job.run(spark, o))
+    assert job.read_results(spark, str(tmp_path / "out")).count() == 1
+
+
+def test_shards_keep_their_limits(spark):
+    rows = [(f"{i:03d}", "t.tar", "x" * (10 * i)) for i in range(60)] + [("z", None, None)]
+    df = spark.createDataFrame(rows, "arxiv_id string, outer_tar string, text string").selectExpr("*", "null as error_message", "null as stage_timings_us", "'' as shard_id")
+    taken = spark.createDataFrame([("t", 7)], "stem string, next_shard int")
+    cut = shards.cut_shards(df, ["arxiv_id"], rows=8, octets=2000, taken=taken)
+    by = {}
+    for r in cut.orderBy("arxiv_id").collect():
+        by.setdefault((r["stem"], r["shard"], r["shard_id"]), []).append(r)
+    assert all(len(v) <= 8 and sum(200 + len(r["arxiv_id"]) + len(r["text"] or "") for r in v[:-1]) < 2000 for v in by.values())
+    numbers = sorted(k[1] for k in by if k[0] == "t")
+    assert numbers == list(range(7, 7 + len(numbers))) and ("results", 0, "results") in by and sum(map(len, by.values())) == 61
+    assert shards.cut_shards(df.limit(0), ["arxiv_id"]).count() == 0
+
+
+def test_one_scan_and_closed_tars(spark, tmp_path):
+    for n in "ab":
+        outer(tmp_path / f"{n}.tar", [n])
+    open_only = archives.read_papers(spark, str(tmp_path), ["a.tar", "zz.tar"])
+    assert [r["arxiv_id"] for r in open_only.collect()] == ["b"] and open_only.rdd.getNumPartitions() == 1
+    plan = text.extract_papers(open_only.repartition(4, "arxiv_id"), keep_unwritten=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchScan") == 1 and plan.count("Exchange hashpartitioning") == 1
+    assert [r["arxiv_id"] for r in archives.collect_papers(str(tmp_path / "a.tar"))] == ["a"]
+
+
+def test_deadline_and_death(monkeypatch):
+    import os
+    import re
+    import time
+
+    files = [{"name": "m.tex", "content": "x"}, None]
+    monkeypatch.setattr(text, "extract", lambda *_: re.match("(a+)+$", "a" * 40 + "b"))
+    began = time.monotonic()
+    assert text._extract_row(files, 0.3)[0] == "timeout" and time.monotonic() - began < 5
+    monkeypatch.setattr(text, "extract", lambda *_: os._exit(9))
+    assert text._isolated(files, 5.0)[:3] == ("error", text.CRASH, 1)
+    monkeypatch.undo()
+    assert text._isolated([{"name": "m.tex", "content": "text"}], 5.0)[:4] == ("ok", None, 1, "text")
