@@ -5,9 +5,9 @@ from __future__ import annotations
 import re
 from collections import Counter
 
-from paperlake.functions.scan import MATH_ENVIRONMENTS, after_option, arg, rewrite, run_to_close
+from paperlake.functions.scan import MATH_ENVIRONMENTS, after_option, arg, blank, flat, flat_option, rewrite, run_to_close, skip_flat_option
 
-# Environment names by treatment.
+# Names of environments by treatment, down to the drawings.
 LISTS = "itemize enumerate description compactitem compactenum compactdesc inparaenum".split()
 FLOATS = dict.fromkeys("figure figure* wrapfigure subfigure subfloat sidewaysfigure".split(), "Figure") | dict.fromkeys("table table* wraptable sidewaystable".split(), "Table")
 QUOTES = "quote quotation verse".split()
@@ -26,13 +26,12 @@ FRAMES = "minipage adjustbox adjustwidth spacing singlespace doublespace onehalf
 VERBATIM = "verbatim Verbatim lstlisting minted alltt".split()
 DRAWINGS = "filecontents filecontents* tikzpicture tikzcd pgfpicture pspicture picture".split()
 
-ITEM = re.compile(r"\\item\s*(?:\[([^\]]*)\])?")
-GRAPHICS = re.compile(r"\\includegraphics\s*(?:\[[^\]]*\])?\s*\{[^{}]*\}")
+ITEM = re.compile(r"\\item")
+GRAPHICS = re.compile(r"\\includegraphics")
 CAPTION = re.compile(r"\\caption(?!\*?[A-Za-z])\*?")
-ROW_END = re.compile(r"\\\\(\[[^\]]*\])?")
+BREAK = re.compile(re.escape("\\\\"))
 FLOAT_BEGIN = re.compile(r"\\begin\{(" + "|".join(map(re.escape, FLOATS)) + r")\}")
-REST_BEGIN = re.compile(r"\\begin\{[^{}]*\}(?:\{[^{}]*\})*(?:\[[^\]]*\])?")
-REST_END = re.compile(r"\\end\{[^{}]*\}")
+REST = re.compile(r"\\(begin|end)(?=\{)")
 
 
 def begin(name: str) -> re.Pattern:
@@ -58,6 +57,36 @@ def unmark(s: str, name: str, skip=skip_option, opening: str = "\n") -> str:
     return s.replace(f"\\end{{{name}}}", "\n")
 
 
+def item(t: str, m: re.Match) -> tuple[str, int]:
+    """``\\item[x]`` -> a list mark and its label."""
+    at = blank(t, m.end())
+    label = flat_option(t, at)
+    end = label.end if label else at
+    return (f"\n- {label.text} " if label and label.text else "\n- "), end
+
+
+def graphics(t: str, m: re.Match) -> tuple[str, int] | None:
+    name = flat(t, blank(t, skip_flat_option(t, blank(t, m.end()))))
+    return name and ("", name.end)
+
+
+def row_end(t: str, m: re.Match) -> tuple[str, int]:
+    return "\n", skip_flat_option(t, m.end())
+
+
+def rest(t: str, m: re.Match) -> tuple[str, int] | None:
+    """A begin or end mark that no rule has taken becomes a line break, a begin mark with its arguments and option."""
+    name = flat(t, m.end())
+    if name is None:
+        return None
+    end = name.end
+    if m[1] == "begin":
+        while part := flat(t, end):
+            end = part.end
+        end = skip_flat_option(t, end)
+    return "\n", end
+
+
 def between(s: str, name: str, make, skip=lambda t, at: at) -> str:
     """Whole environments by ``make(content)``; one without end stays."""
     if f"\\begin{{{name}}}" not in s:
@@ -92,10 +121,10 @@ def floats(s: str) -> str:
         last = t.find(closing, first)
         if last < 0:
             return None
-        content = GRAPHICS.sub("", t[first:last]).replace("\\centering", "")
+        content = rewrite(t[first:last], GRAPHICS, graphics).replace("\\centering", "")
         return f"\n{captioned(content, FLOATS[m[1]]).strip()}\n", last + len(closing)
 
-    return GRAPHICS.sub("", rewrite(s, FLOAT_BEGIN, handler))
+    return rewrite(rewrite(s, FLOAT_BEGIN, handler), GRAPHICS, graphics)
 
 
 def theorem(s: str, name: str, shown: str) -> str:
@@ -144,13 +173,13 @@ def display_rows(s: str) -> str:
     stretch."""
     pieces = s.split(FENCE)
     # fences that share a line break cannot both match, so splitting finds the same fences from left to right
-    return FENCE.join([pieces[0], *(ROW_END.sub("\n", p.replace("&", " ")) for p in pieces[1:-1]), *pieces[1:][-1:]])
+    return FENCE.join([pieces[0], *(rewrite(p.replace("&", " "), BREAK, row_end) for p in pieces[1:-1]), *pieces[1:][-1:]])
 
 
 def convert_environments(s: str, theorems: dict[str, str]) -> str:
     for name in LISTS:
         s = unmark(s, name)
-    s = ITEM.sub(lambda m: f"\n- {m[1]} " if m[1] else "\n- ", s)
+    s = rewrite(s, ITEM, item)
     s = floats(s)
     for name in (*QUOTES, "center"):
         s = unmark(s, name)
@@ -176,4 +205,4 @@ def convert_environments(s: str, theorems: dict[str, str]) -> str:
     s = unmark(s, "thebibliography", skip_arguments, "\n## References\n")
     for name in DRAWINGS:
         s = between(s, name, lambda content: "")
-    return REST_END.sub("\n", REST_BEGIN.sub("\n", s))
+    return rewrite(s, REST, rest)

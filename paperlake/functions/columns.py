@@ -13,6 +13,10 @@ from paperlake.functions.style import SIZES
 from paperlake.functions.tidy import KEPT
 
 
+#: Parts of patterns: an option that may be there, a group without groups in it.
+OPTION, FLAT = r"(?:\[[^\]]*\])?", r"\{[^{}]*\}"
+
+
 def sub(c: Column, pattern: str, to: str = "") -> Column:
     return F.regexp_replace(c, F.lit(pattern), F.lit(to))
 
@@ -30,11 +34,11 @@ def drop_sizes(c: Column) -> Column:
 
 
 def drop_labels(c: Column) -> Column:
-    return sub(c, r"\\label\{[^{}]*\}")
+    return sub(c, rf"\\label{FLAT}")
 
 
 def drop_graphics(c: Column) -> Column:
-    return sub(c, r"\\includegraphics\s*(?:\[[^\]]*\])?\s*\{[^{}]*\}")
+    return sub(c, rf"\\includegraphics\s*{OPTION}\s*{FLAT}")
 
 
 def drop_orphans(c: Column) -> Column:
@@ -46,7 +50,7 @@ def drop_stray_backslashes(c: Column) -> Column:
 
 
 def row_ends(c: Column) -> Column:
-    return sub(c, r"\\\\(\[[^\]]*\])?", "\n")
+    return sub(c, rf"\\\\{OPTION}", "\n")
 
 
 def collapse_whitespace(c: Column) -> Column:

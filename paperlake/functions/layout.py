@@ -5,16 +5,23 @@ from __future__ import annotations
 import re
 from typing import NamedTuple
 
-from paperlake.functions.scan import BLANK, after_option, arg, command, option, raised, rewrite
+from paperlake.functions.scan import BLANK, after_option, arg, blank, command, flat, option, raised, rewrite
 
 SECTION = re.compile(r"\\(chapter|section|subsection|subsubsection)(?![A-Za-z])(\*?)(?![A-Za-z])")
 LEVEL = {"chapter": 0, "section": 1, "subsection": 2, "subsubsection": 3}
 TITLES = {"title": "\n# ", "author": "\n", "authors": "\n", "date": "\n", "address": "\n", "affiliation": "\n", "affiliations": "\n"}
 ACKNOWLEDGEMENT = re.compile(r"\\(begin|end)\{acknowledge?ments?\}")
-PROCLAIM = re.compile(r"\\proclaim\s*(?:\{([^{}]*)\})?")
+PROCLAIM = re.compile(r"\\proclaim")
 SUBHEAD = re.compile(r"\\subhead\s*")
 
 
+def proclaimed(t: str, m: re.Match) -> tuple[str, int]:
+    """A proclamation opens with its name, or as a theorem."""
+    at = blank(t, m.end())
+    name = flat(t, at)
+    return f"\n**{name.text if name and name.text else 'Theorem'}.** ", name.end if name else at
+
+
 def section_number(counts: list[int], level: int) -> str:
     """Count a section of ``level``; its number begins at the highest level that has been used."""
     counts[level] += 1
@@ -199,6 +206,6 @@ def convert_structure(s: str, labels: dict[str, str]) -> str:
     s = s.replace("\\maketitle", "").replace("\\begin{abstract}", "\n**Abstract.** ").replace("\\end{abstract}", "\n")
     s = ACKNOWLEDGEMENT.sub(lambda m: "\n## Acknowledgements\n" if m[1] == "begin" else "\n", s)
     s = headed(s, "abstract", "\n**Abstract.** ")
-    s = PROCLAIM.sub(lambda m: f"\n**{m[1] or 'Theorem'}.** ", s).replace("\\endproclaim", "\n")
+    s = rewrite(s, PROCLAIM, proclaimed).replace("\\endproclaim", "\n")
     s = SUBHEAD.sub("\n### ", s).replace("\\endsubhead", "\n")
     return institute_lists(s)

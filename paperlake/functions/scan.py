@@ -84,6 +84,39 @@ def run_to_close(s: str, at: int, left: str, right: str) -> int:
     return len(s) if end is None else end + 1
 
 
+SPACE = re.compile(r"\s*")
+
+
+def blank(s: str, at: int) -> int:
+    """Behind white space of any kind."""
+    return SPACE.match(s, at).end()
+
+
+def flat(s: str, at: int, depth: int = 0) -> Part | None:
+    """The group that begins exactly at ``at``, if groups nest in it at most ``depth`` deep; escapes are not heeded."""
+    if not s.startswith("{", at):
+        return None
+    level = 0
+    for m in PLAIN_BRACES.finditer(s, at):
+        level += 1 if m[0] == "{" else -1
+        if level > depth + 1:
+            return None
+        if level == 0:
+            return Part(s[at + 1 : m.start()], m.end())
+    return None
+
+
+def flat_option(s: str, at: int) -> Part | None:
+    """The option that begins exactly at ``at`` and ends with the first closing bracket."""
+    end = s.find("]", at) if s.startswith("[", at) else -1
+    return None if end < 0 else Part(s[at + 1 : end], end + 1)
+
+
+def skip_flat_option(s: str, at: int) -> int:
+    found = flat_option(s, at)
+    return found.end if found else at
+
+
 def args(s: str, at: int, n: int) -> tuple[list[str], int] | None:
     """``n`` arguments in a row."""
     out = []
@@ -167,6 +200,12 @@ def any_command(names: tuple[str, ...]) -> re.Pattern:
     return re.compile(r"\\(?:" + "|".join(sorted(map(re.escape, names), key=len, reverse=True)) + ")(?![A-Za-z])")
 
 
+@lru_cache(None)
+def words_beginning(names: tuple[str, ...]) -> re.Pattern:
+    """Commands by name where something that is no letter has to follow anyway, as the handler checks."""
+    return re.compile(r"\\(?:" + "|".join(sorted(map(re.escape, names), key=len, reverse=True)) + ")")
+
+
 WHOLE_COMMAND = re.compile(r"\\[A-Za-z]+")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,13 +24,18 @@ def numbered(rows: DataFrame, group: str, order: list[str], name: str = "row_no"
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in placed.schema.fields) + ", _within bigint"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, seen = object(), 0
+        last, seen = None, 0
         for b in batches:
-            within = []
-            for g in b.column(group).to_pylist():
-                seen = seen + 1 if g == last else 1
-                last = g
-                within.append(seen)
+            if not b.num_rows:
+                continue
+            codes = b.column(group).dictionary_encode(null_encoding="encode")
+            fresh = np.flatnonzero(np.diff(codes.indices.to_numpy(zero_copy_only=False))) + 1
+            starts = np.concatenate([[0], fresh])
+            within = np.arange(1, b.num_rows + 1) - np.repeat(starts, np.diff(np.append(starts, b.num_rows)))
+            first, end = b.column(group)[0].as_py(), int(fresh[0]) if len(fresh) else b.num_rows
+            if seen and first == last:
+                within[:end] += seen
+            last, seen = b.column(group)[b.num_rows - 1].as_py(), int(within[-1])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(within, pa.int64())], names=[*b.schema.names, "_within"])
 
     local = materialize(placed.mapInArrow(count, schema), "numbered")

@@ -3,7 +3,7 @@ through each text. Tables are one row per occurrence, ordered by position within
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -17,18 +17,15 @@ def section_numbers(sections: DataFrame, doc: str = "doc", pos: str = "pos", lev
     """Adds ``number`` ("2.1"): each level counts within the nearest section above it; the number begins at the highest
     level that has occurred under the current one."""
     order = Window.partitionBy(doc).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
-    table = sections
-    for d in range(4):
-        # sections of a higher level seen so far: the stretch in which level d is counted
-        table = table.withColumn(f"_above{d}", F.count_if(F.col(level) < d).over(order))
-    for d in range(4):
-        within = Window.partitionBy(doc, f"_above{d}").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
-        table = table.withColumn(f"_n{d}", F.count_if(F.col(level) == d).over(within))
+    # sections of each level so far, and how many of them stood before the last section of a higher level; both windows
+    # have the same order, so rows are sorted once
+    table = sections.withColumns({f"_c{d}": F.count_if(F.col(level) == d).over(order) for d in range(4)})
+    table = table.withColumns({f"_n{d}": F.col(f"_c{d}") - F.coalesce(F.max(F.when(F.col(level) < d, F.col(f"_c{d}"))).over(order), F.lit(0)) for d in range(4)})
     parts = [F.struct((F.col(f"_n{d}") > 0).alias("used"), F.lit(d).alias("d"), F.col(f"_n{d}").alias("n")) for d in range(4)]
     upto = F.filter(F.array(*parts), lambda x: x.d <= F.col(level))
     first = F.array_min(F.transform(F.filter(upto, lambda x: x.used), lambda x: x.d))
     shown = F.transform(F.filter(upto, lambda x: x.d >= first), lambda x: x.n.cast("string"))
-    return table.withColumn("number", F.array_join(shown, ".")).drop(*[f"_above{d}" for d in range(4)], *[f"_n{d}" for d in range(4)])
+    return table.withColumn("number", F.array_join(shown, ".")).drop(*[f"_{k}{d}" for k in "cn" for d in range(4)])
 
 
 def label_numbers(labels: DataFrame, doc: str = "doc", pos: str = "pos", label: str = "label") -> DataFrame:
@@ -76,11 +73,7 @@ def include_closure(spark, edges: DataFrame, roots: DataFrame, depth: int = 20)
 def include_edges(files: DataFrame) -> DataFrame:
     """(paper, file, target) of plain inputs and includes, paths made normal."""
     from paperlake.functions.columns import include_path
+    from paperlake.functions.includes import INPUTS
 
-    found = occurrences(files.withColumn("_k", F.struct("paper", "file")), "_k", "content", r"\\(?:input|include|subfile|@input)\s*\{([^{}]+)\}")
+    found = occurrences(files.withColumn("_k", F.struct("paper", "file")), "_k", "content", r"\\(?:" + "|".join(INPUTS) + r")\s*\{([^{}]+)\}")
     return found.select("_k.paper", "_k.file", include_path(F.col("value")).alias("target"))
-
-
-def spread(c: Column, salts: int) -> Column:
-    """A salt from a column's hash, for joins on a hot key."""
-    return F.pmod(F.xxhash64(c), F.lit(salts)).cast("int")

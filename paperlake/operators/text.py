@@ -66,7 +66,7 @@ CRASH = "extraction thread crashed"
 
 
 def extract_papers(papers: DataFrame, timeout_s: float = TIMEOUT_S, most_octets: int = MOST_OCTETS, shard_id: str = "", keep_unwritten: bool = False) -> DataFrame:
-    """Papers (see schema.PAPER) to result rows (schema.RESULT without order), in one pass over their source.
+    """Papers (see schema.PAPER) to result rows, in one pass over their source.
 
     Failed archives with a known id give ``archive_error`` rows, papers above ``most_octets`` of source ``skipped`` ones –
     both are settled by native expressions, and their sources never reach Python. The rest is extracted row by row under

@@ -61,6 +61,35 @@ def inc_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.select("id", "pos", columns.is_template(F.col("f.name"), F.col("f.content")).alias("template"))
 
 
+def ent_main_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "entries").where(F.size("tex_files") > 0)
+    return e.select("entry_seq", columns.main_file(F.col("tex_files")).cast("int").alias("place"))
+
+
+def ent_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = table(spark, sf_dir, "entries").select("entry_seq", F.posexplode("tex_files").alias("pos", "f"))
+    return files.select("entry_seq", "pos", columns.is_template(F.col("f.name"), F.col("f.content")).alias("template"))
+
+
+def ent_root_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roots of every delivered paper, includes inlined."""
+    roots = F.udf(_roots, "string", useArrow=True)
+    e = table(spark, sf_dir, "entries").where("tex_files is not null")
+    return spread(e.select("entry_seq", "tex_files"), "entry_seq").select("entry_seq", roots("tex_files").alias("txt"))
+
+
+def ent_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every operator by itself on every delivered file, whole: the octets that come out."""
+    files = spread(table(spark, sf_dir, "entries").select("entry_seq", "tex_files"), "entry_seq").select("entry_seq", F.posexplode("tex_files").alias("pos", "f"))
+    return files.select("entry_seq", "pos", *[F.octet_length(text.operator(name, F.col("f.content"))).alias(name) for name in text.OPERATORS])
+
+
+def ent_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result rows of all delivered papers without their texts."""
+    rows = text.extract_papers(spread(papers_of_entries(spark, sf_dir), "source_tar", "arxiv_id"))
+    return rows.select("arxiv_id", "outer_tar", "entry_name", "file_type", "status", "num_tex_files", "error_message")
+
+
 def inc_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = table(spark, sf_dir, "entries").select(F.col("entry_seq").alias("paper"), F.explode("tex_files").alias("f")).select("paper", F.col("f.name").alias("file"), F.col("f.content").alias("content"))
     edges = relational.include_edges(files)
@@ -333,13 +362,47 @@ def str_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    out_extract, out_size_guard, out_outcomes, out_tar_metrics, inc_root_order, inc_main_file, inc_template, inc_closure, src_entry_kind, src_tar_scan, src_nested, src_files, src_encodings, src_defects, job_kill_resume, job_limits, job_texts, led_lines, led_pending,
+    out_extract, out_size_guard, out_outcomes, out_tar_metrics, inc_root_order, inc_main_file, inc_template, inc_closure, ent_main_file, ent_template, ent_root_order, ent_stages, ent_status, src_entry_kind, src_tar_scan, src_nested, src_files, src_encodings, src_defects, job_kill_resume, job_limits, job_texts, led_lines, led_pending,
     led_resume_counts, snk_shards, snk_octets, snk_jsonl, snk_parquet, num_rows, rel_sections, rel_labels, rel_citations, rel_floats, str_ingest, str_windows,
 )}
 
 TRIM = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
 LED = f"SELECT {TRIM.format('stem')} AS stem, {TRIM.format('arxiv_id')} AS arxiv_id FROM ledger WHERE {TRIM.format('stem')} <> ''"
+STATUS = """
+SELECT arxiv_id, source_tar AS outer_tar, entry_name, CASE WHEN error IS NULL THEN file_type WHEN suffix(entry_name, '.pdf') THEN 'pdf' WHEN suffix(entry_name, '.tex') THEN 'tex' ELSE 'unknown' END AS file_type,
+  CASE WHEN error IS NOT NULL THEN 'archive_error' WHEN len(list_filter(coalesce(tex_files, []), lambda f: trim(coalesce(f.content, ''), chr(10) || ' ') <> '')) > 0 THEN 'ok' ELSE 'empty' END AS status,
+  CASE WHEN error IS NULL THEN CAST(coalesce(len(tex_files), 0) AS INTEGER) END AS num_tex_files, error AS error_message
+FROM entries WHERE arxiv_id <> 'unknown'"""
 ORACLES = {
+    "ent_status": STATUS,
+    "str_ingest": f"SELECT outer_tar, status, count(*) AS n FROM ({STATUS}) GROUP BY ALL",
+    "ent_main_file": r"""
+WITH f AS (SELECT entry_seq, unnest(tex_files) AS f, generate_subscripts(tex_files, 1) - 1 AS place FROM entries),
+r AS (SELECT *, contains(f.content, '\documentclass') AS c, contains(f.content, '\begin{document}') AS b FROM f)
+SELECT entry_seq, CAST(arg_min(place, CASE WHEN c AND b THEN 0 WHEN c THEN 1000 WHEN b THEN 2000 ELSE 3000 END + place) AS INTEGER) AS place FROM r GROUP BY entry_seq""",
+    "ent_template": r"""
+WITH f AS (SELECT entry_seq, unnest(tex_files) AS f, CAST(generate_subscripts(tex_files, 1) - 1 AS INTEGER) AS pos FROM entries),
+n AS (SELECT *, lower(regexp_extract(f.name, '[^/]*$')) AS base, lower(f.content) AS low FROM f)
+SELECT entry_seq, pos, regexp_matches(base, '(_conference|_submission|_style|_format)[.]tex$') OR regexp_matches(regexp_replace(base, '[.]tex$', ''), '^(sample|template|example|instructions)')
+  OR contains(f.content, '\ProvidesPackage') OR contains(f.content, '\ProvidesClass')
+  OR len(list_filter(['formatting instructions', 'style file', 'do not modify', 'camera ready', 'camera-ready', 'do not change', 'submission template'], lambda p: contains(low, p))) >= 2 AS template FROM n""",
+    "inc_closure": r"""
+WITH RECURSIVE f AS (SELECT entry_seq AS paper, unnest(tex_files) AS f FROM entries),
+x AS (SELECT paper, f.name AS file, unnest(regexp_extract_all(f.content, '\\(?:input|include|subfile|@input)\s*\{([^{}]+)\}', 1)) AS p FROM f),
+y AS (SELECT paper, file, regexp_replace(trim(p), '^\./', '') AS p FROM x),
+e AS (SELECT DISTINCT paper, file, CASE WHEN suffix(p, '.tex') OR suffix(p, '.bbl') THEN p ELSE p || '.tex' END AS target FROM y),
+reach AS (
+  SELECT DISTINCT paper, f.name AS file, 0 AS depth FROM f WHERE contains(f.content, '\begin{document}')
+  UNION SELECT r.paper, e.target, r.depth + 1 FROM reach r JOIN e ON e.paper = r.paper AND e.file = r.file WHERE r.depth < 20)
+SELECT DISTINCT paper, file FROM reach WHERE depth > 0""",
+    "rel_sections": """
+WITH s AS (SELECT l_orderkey AS doc, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS INTEGER) AS pos,
+  CASE l_returnflag WHEN 'N' THEN 1 WHEN 'R' THEN 2 ELSE 3 END AS level FROM lineitem),
+a AS (SELECT *, count(*) FILTER (WHERE level < 2) OVER w AS a2, count(*) FILTER (WHERE level < 3) OVER w AS a3 FROM s WINDOW w AS (PARTITION BY doc ORDER BY pos)),
+n AS (SELECT *, count(*) FILTER (WHERE level = 1) OVER (PARTITION BY doc ORDER BY pos) AS n1, count(*) FILTER (WHERE level = 2) OVER (PARTITION BY doc, a2 ORDER BY pos) AS n2,
+  count(*) FILTER (WHERE level = 3) OVER (PARTITION BY doc, a3 ORDER BY pos) AS n3 FROM a)
+SELECT doc, pos, level, CASE WHEN n1 > 0 THEN concat_ws('.', n1, CASE WHEN level >= 2 THEN n2 END, CASE WHEN level >= 3 THEN n3 END)
+  WHEN level >= 2 AND n2 > 0 THEN concat_ws('.', n2, CASE WHEN level >= 3 THEN n3 END) ELSE CAST(n3 AS VARCHAR) END AS number FROM n""",
     "inc_root_order": r"""
 SELECT CAST(n_nationkey AS BIGINT) AS id, 'main.tex=\documentclass{a}\begin{document}' || n_nationkey || ' \input{sec/part} \input{none} BIB part of ' || n_name || '\end{document}|zz.tex=stray' AS txt FROM nation""",
     "inc_main_file": "SELECT CAST(n_nationkey AS BIGINT) AS id, CAST(0 AS INTEGER) + 2 AS place FROM nation",

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 from paperlake.functions import blocks, cite, expand, front, glyphs, layout, style, tidy
 from paperlake.functions.extract import extract_text
 from paperlake.functions.includes import TexFile
+from paperlake.operators.text import apply
 from paperlake.plans.catalogue import cells, expected
 
 
@@ -102,7 +108,33 @@ CATALOGUE = [
     ("tex_body", CUSTOMER, body, r"concat(r'\title{x}\begin{document}', c_custkey, chr(10), r'% \end{document}', chr(10), r'y\end{document}z')", rf"c_custkey || {NL} || '% \end{{document}}' || {NL} || 'y'"),
     ("tex_preamble", CUSTOMER, preamble, r"concat(r'\title{T', c_custkey, r'}\author[a]{N}\address[a]{X', c_nationkey, r'}%\email{no}', chr(10), r'\email{me}\thanks{t}\begin{document}b\end{document}')", "'# T' || c_custkey || '|N¹|¹ X' || c_nationkey || '|me|t'"),
     ("tex_whole_paper", NATION, whole, r"concat(r'\documentclass{a}\title{T}\newcommand{\who}{', n_name, r'}\begin{document}\section{S}\label{sec:s}\who{} is $x$, see \ref{sec:s}.\end{document}')", f"'# T' || {NL} || {NL} || '## 1. S' || {NL} || n_name || ' is $x$, see 1.'"),
+    ("tex_operator_names", PART, style.convert_formatting, r"concat(r'\operatorname*{', p_size, r'} \operatorname{x}')", "p_size || ' x'"),
+    ("tex_leaked_definitions", PART, tidy.cleanup, r"concat(p_name, r' \newcommand{\x}[1]{a{b}c}\def\y{', p_size, r'}z')", "p_name || ' z'"),
+    ("tex_stray_backslashes", PART, tidy.cleanup, r"concat(p_name, r' \; a\ b \1 ', p_size)", "p_name || ' ; a b 1 ' || p_size"),
+    ("tex_escapes", PART, glyphs.convert_symbols, r"concat(r'\&\#\$\%\_ \| ?`', p_name, r' !``x', chr(39), chr(39), r' a\;b\:c\!d')", f"'&#$%_ ‖ ¿' || p_name || ' !“x” a' || chr(8287) || 'b' || chr(8201) || 'cd'"),
 ]
 
+#: Every name of the symbol tables, as used in a text.
+SYMBOLS = {
+    "text_commands": (glyphs.TEXT_COMMANDS, glyphs.convert_symbols), "math_symbols": (glyphs.MATH_SYMBOLS, glyphs.convert_symbols), "greek": (glyphs.GREEK, glyphs.convert_symbols),
+    "letters": (glyphs.LETTERS, glyphs.convert_diacritics), "journals": (cite.JOURNALS, references),
+}
+
+
+def _all_names(table: dict[str, str], fn) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        names = spark.createDataFrame([(k,) for k in table], "name string")
+        return names.select("name", apply(fn, F.concat(F.lit("x\\"), "name", F.lit(" \\"), "name", F.lit("{}"))).alias("txt"))
+
+    return query
+
+
+def _shown(table: dict[str, str]) -> str:
+    quoted = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in table.items())
+    return f"SELECT name, 'x' || shown || ' ' || shown || '{{}}' AS txt FROM (VALUES {quoted}) t(name, shown)"
+
+
 QUERIES = {name: cells(t, k, source, fn) for name, (t, k), fn, source, _ in CATALOGUE}
 ORACLES = {name: expected(t, k, sql) for name, (t, k), _, _, sql in CATALOGUE}
+QUERIES |= {f"tex_all_{name}": _all_names(table, fn) for name, (table, fn) in SYMBOLS.items()}
+ORACLES |= {f"tex_all_{name}": _shown(table) for name, (table, _) in SYMBOLS.items()}

@@ -15,23 +15,5 @@ PAPER = T.StructType(
         T.StructField("error", T.StringType()),
     ]
 )
-RESULT = T.StructType(
-    [
-        T.StructField("arxiv_id", T.StringType(), False),
-        T.StructField("status", T.StringType(), False),
-        T.StructField("error_message", T.StringType()),
-        T.StructField("num_tex_files", T.IntegerType()),
-        T.StructField("text_length", T.IntegerType()),
-        T.StructField("text", T.StringType()),
-        T.StructField("stage_timings_us", T.StringType()),
-        T.StructField("total_time_us", T.LongType()),
-        T.StructField("peak_memory_bytes", T.LongType()),
-        T.StructField("outer_tar", T.StringType()),
-        T.StructField("file_type", T.StringType()),
-        T.StructField("entry_name", T.StringType()),
-        T.StructField("shard_id", T.StringType(), False),
-    ]
-)
 LEDGER = T.StructType([T.StructField("stem", T.StringType()), T.StructField("arxiv_id", T.StringType())])
-STATUSES = ("ok", "empty", "skipped", "timeout", "error", "archive_error")
 OUTCOMES = ("ok", "empty", "timeout", "skipped", "panic", "crash", "archive_error", "io_error", "skipped_resume")

@@ -33,6 +33,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = context.getConf().get("spark.checkpoint.dir")
     if configured is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured is None and not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if configured is None:
         configured = tempfile.mkdtemp(prefix="paperlake-")
         spark.conf.set("spark.checkpoint.dir", configured)
