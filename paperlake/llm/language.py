@@ -46,36 +46,33 @@ class Network:
     out: np.ndarray
     out_bias: np.ndarray
 
+    def pair_tables(self) -> list[list[np.ndarray]]:
+        """Per width the look-up tables of two neighbouring bytes (65536, FILTERS), and of the odd last one. Made once a
+        worker; they never travel."""
+        if "_pairs" not in self.__dict__:
+            self._pairs = [[(o[k][:, None, :] + o[k + 1][None, :, :]).reshape(-1, FILTERS) if k + 1 < len(o) else o[k] for k in range(0, len(o), 2)] for o in self.tables]
+        return self._pairs
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_pairs"}
+
     def log_probabilities(self, windows: np.ndarray) -> np.ndarray:
         """(n, languages) for an (n, WINDOW) array of bytes; 0 pads."""
         pooled = np.empty((len(windows), FILTERS * len(WIDTHS)), dtype=np.float32)
         places = WINDOW - max(WIDTHS) + 1
         for at in range(0, len(windows), 64):
-            chunk = windows[at : at + 64].astype(np.intp)
-            for i, offsets in enumerate(self.tables):
-                # whole rows of a table are looked up and added, so all inner loops run over long stretches of memory
-                total = offsets[0].take(chunk[:, :places], axis=0)
-                for k in range(1, len(offsets)):
-                    total += offsets[k].take(chunk[:, k : places + k], axis=0)
-                pooled[at : at + 64, i * FILTERS : (i + 1) * FILTERS] = total.max(axis=1)
+            # positions first, so that maxima over positions run over long stretches of memory
+            single = np.ascontiguousarray(windows[at : at + 64].T).astype(np.intp)
+            pairs = single[:-1] * 256 + single[1:]
+            for i, parts in enumerate(self.pair_tables()):
+                total = parts[0].take(pairs[:places], axis=0)
+                for k, part in enumerate(parts[1:], 1):
+                    total += part.take((pairs if len(part) > 256 else single)[2 * k : 2 * k + places], axis=0)
+                pooled[at : at + 64, i * FILTERS : (i + 1) * FILTERS] = total.max(axis=0)
         hidden = np.maximum(pooled * self.scale + self.bias, 0)
         return _log_softmax(hidden @ self.out + self.out_bias)
 
 
-def _pool(looked: np.ndarray, length: int) -> np.ndarray:
-    """Sum the looked-up offsets of every filter: (n, positions, filters)."""
-    places = length - max(WIDTHS) + 1
-    out = np.empty((len(looked), places, FILTERS * len(WIDTHS)), dtype=looked.dtype)
-    column = 0
-    for i, w in enumerate(WIDTHS):
-        part = out[:, :, i * FILTERS : (i + 1) * FILTERS]
-        np.add(looked[:, :places, column : column + FILTERS], looked[:, 1 : places + 1, column + FILTERS : column + 2 * FILTERS], out=part)
-        for k in range(2, w):
-            part += looked[:, k : places + k, column + k * FILTERS : column + (k + 1) * FILTERS]
-        column += w * FILTERS
-    return out
-
-
 def _log_softmax(x: np.ndarray) -> np.ndarray:
     x = x - x.max(axis=1, keepdims=True)
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
@@ -113,16 +110,23 @@ class Trainer:
         self.v = {k: np.zeros_like(v) for k, v in self.p.items()}
         self.steps = 0
 
-    def full_table(self) -> np.ndarray:
-        table = np.concatenate([self.p["embed"] @ self.p[f"w{w}_{k}"] for w in WIDTHS for k in range(w)], axis=1)
+    def table(self, width: int, offset: int) -> np.ndarray:
+        """(256, FILTERS): what every byte adds at an offset of a filter."""
+        table = self.p["embed"] @ self.p[f"w{width}_{offset}"]
         table[0] = 0  # padding
         return table
 
     def step(self, x: np.ndarray, y: np.ndarray, rate: float) -> None:
         p = self.p
-        summed = _pool(self.full_table()[x], WINDOW)
-        best = summed.argmax(axis=1)  # (n, filters)
-        pooled = np.take_along_axis(summed, best[:, None, :], axis=1)[:, 0]
+        places, by_place = WINDOW - max(WIDTHS) + 1, np.ascontiguousarray(x.T).astype(np.intp)
+        pooled, best = np.empty((len(x), FILTERS * len(WIDTHS)), np.float32), np.empty((len(x), FILTERS * len(WIDTHS)), np.intp)
+        for i, w in enumerate(WIDTHS):
+            total = self.table(w, 0).take(by_place[:places], axis=0)
+            for k in range(1, w):
+                total += self.table(w, k).take(by_place[k : k + places], axis=0)
+            mine = slice(i * FILTERS, (i + 1) * FILTERS)
+            pooled[:, mine] = total.max(axis=0)
+            best[:, mine] = (total == pooled[None, :, mine]).argmax(axis=0)
         pre = pooled + p["bias"]
         keep = (self.rng.random(pre.shape) > 0.2).astype(np.float32) / 0.8
         hidden = np.maximum(pre, 0) * keep
@@ -155,13 +159,10 @@ class Trainer:
             self.step(x[mine], y[mine], rate)
 
     def network(self) -> Network:
-        table = self.full_table()
-        widest = np.abs(table).max()
-        scale = widest * max(WIDTHS) / 32000
-        whole = np.round(table / scale).astype(np.int16)
-        single = [np.ascontiguousarray(whole[:, c : c + FILTERS]) for c in range(0, whole.shape[1], FILTERS)]
-        tables = [single[sum(WIDTHS[:i]) : sum(WIDTHS[: i + 1])] for i in range(len(WIDTHS))]
-        return Network(self.languages, tables, float(scale), self.p["bias"], self.p["out"], self.p["out_bias"])
+        tables = [[self.table(w, k) for k in range(w)] for w in WIDTHS]
+        scale = max(np.abs(t).max() for offsets in tables for t in offsets) * max(WIDTHS) / 32000
+        whole = [[np.round(t / scale).astype(np.int16) for t in offsets] for offsets in tables]
+        return Network(self.languages, whole, float(scale), self.p["bias"], self.p["out"], self.p["out_bias"])
 
 
 # Wrong decodings that training sentences are put through, (meant, shown).
@@ -281,7 +282,7 @@ def judge(texts: list[str | None], network: Network, canonicalizer: Canonicalize
             wild = "\ufffd" in s or not s.isascii() and 4 * len(SCATTERED.findall(s)) > len(s)
             heading = text[a] == "#" or not FINAL.search(text, max(a, b - 24), b)
             first, last = (a, b) if places is None else (places[a], places[b - 1] + 1)
-            spans.append((first, last, len(s), wild, not heading))
+            spans.append((first, last, wild, not heading))
             owners.append(n)
     result: list[list] = [[] for _ in texts]
     if not pieces:
@@ -289,24 +290,29 @@ def judge(texts: list[str | None], network: Network, canonicalizer: Canonicalize
     logs = network.log_probabilities(as_array(pieces))
     scores = np.add.reduceat(logs, np.cumsum([0, *counts[:-1]]), axis=0)
     scores = np.maximum(scores, scores.max(axis=1, keepdims=True) - 12.0)
-    owners = np.array(owners)
+    owners, wild, whole = np.array(owners), np.array([x[2] for x in spans]), np.array([x[3] for x in spans])
     first = np.flatnonzero(np.diff(owners, prepend=-1))
-    for low, high in zip(first, [*first[1:], len(owners)], strict=True):
-        n, mine = owners[low], np.arange(low, high)
-        sc = scores[low:high]
-        wild = np.array([spans[i][3] for i in mine])
-        if wild.any() and sum(spans[i][4] for i in mine[~wild]) >= ENOUGH:
-            sc = np.where(wild[:, None], sc * 0.02, sc)
-        tops = sc.argmax(axis=1)
-        path = tops if (tops == tops[0]).all() else best_path(sc)
+    sizes = np.diff(np.append(first, len(owners)))
+    # sentences full of scattered signs lose weight where a text has enough others
+    sound = np.add.reduceat(whole & ~wild, first)
+    scores = np.where((wild & np.repeat(sound >= ENOUGH, sizes))[:, None], scores * 0.02, scores)
+    tops = scores.argmax(axis=1)
+    same = np.minimum.reduceat(tops, first) == np.maximum.reduceat(tops, first)
+    # confidence: probability of a segment's language, evidence tempered as sentences depend on each other
+    sure = np.exp(_log_softmax(np.add.reduceat(scores, first, axis=0) / np.sqrt(sizes)[:, None]))
+    n_whole = np.add.reduceat(whole, first, dtype=int)
+    for g, (low, size) in enumerate(zip(first.tolist(), sizes.tolist(), strict=True)):
+        n, high = owners[low], low + size
+        if same[g]:
+            k = int(tops[low])
+            result[n].append((spans[low][0], spans[high - 1][1], k, float(sure[g, k]), int(n_whole[g])))
+            continue
+        path = best_path(scores[low:high])
         start = 0
-        for j in range(1, len(mine) + 1):
-            if j == len(mine) or path[j] != path[start]:
-                inside = mine[start:j]
-                evidence = sc[start:j].sum(axis=0)
-                # confidence: probability of the segment's language, evidence tempered as sentences depend on each other
-                soft = np.exp(_log_softmax(evidence[None, :] / np.sqrt(len(inside)))[0])
-                result[n].append((spans[inside[0]][0], spans[inside[-1]][1], int(path[start]), float(soft[path[start]]), int(sum(spans[i][4] for i in inside))))
+        for j in range(1, size + 1):
+            if j == size or path[j] != path[start]:
+                soft = np.exp(_log_softmax(scores[low + start : low + j].sum(axis=0)[None, :] / np.sqrt(j - start))[0])
+                result[n].append((spans[low + start][0], spans[low + j - 1][1], int(path[start]), float(soft[path[start]]), int(whole[low + start : low + j].sum())))
                 start = j
     return result
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperlake.llm.canonical import NEEDS_TABLE, TABLE
-from paperlake.llm.quality import SENTENCE_END
+from paperlake.llm.quality import CLOSED_END, SENTENCE_END
 from paperlake.llm.sampling import bounded_sample
 
 FORMULA = re.compile(r"\$\$.*?\$\$|\$[^$\n]*\$", re.S)
@@ -374,7 +374,7 @@ def fit_model(results: DataFrame, rows: int = 300) -> ContentModel:
 def lacks_sentences(text: Column) -> Column:
     """The structural test of texts that are no prose (see the quality operator)."""
     high = F.regexp_count(text, F.lit(r"[^\x00-\x7f]"))
-    return ~text.rlike(SENTENCE_END) & (high < 0.15 * F.char_length(text))
+    return ~text.rlike(SENTENCE_END) & ~text.rlike(CLOSED_END) & (high < 0.15 * F.char_length(text))
 
 
 def _hinted(results: DataFrame) -> DataFrame:

@@ -70,6 +70,8 @@ FINAL = re.compile(
 SPACE_THAI = re.compile(r"(?<=[฀-๿0-9)”])(?= +[฀-๿])")
 HEADING = re.compile(r"\s*#{1,6}[ \t]")
 ITEM = re.compile(r"\s*[-*•][ \t]")
+#: What a heading or list line begins with.
+MARKS = "#-*•"
 
 
 QUICK_BEFORE = re.compile(rf"[{LOWER}]{{7}}[.!?]")
@@ -98,10 +100,13 @@ RULES = {name: Rules(tables) for name, tables in TABLES.items()}
 THAI_LETTER = re.compile("[฀-๿]")
 WIDE_LETTER = re.compile("[一-鿿ぁ-ヿ]")
 HINDI_LETTER = re.compile("[ऀ-ॿ]")
+OTHER_LETTER = re.compile("[฀-๿一-鿿ぁ-ヿऀ-ॿ]")
 
 
 def table_for(paragraph: str, language: str | None) -> str:
     """The table is chosen by the paragraph's own script; only among Latin-script languages the label counts."""
+    if paragraph.isascii() or not OTHER_LETTER.search(paragraph):
+        return "any" if not language else "de" if language == "de" else "any"
     if THAI_LETTER.search(paragraph):
         return "th"
     if WIDE_LETTER.search(paragraph):
@@ -117,8 +122,9 @@ def blocks(text: str) -> Iterator[tuple[int, int, bool]]:
     at = 0
     for line in text.split("\n"):
         end = at + len(line)
-        single = HEADING.match(line) or ITEM.match(line)
-        if single or not line.strip():
+        head = line.lstrip()[:1]
+        single = head and head in MARKS and (HEADING.match(line) or ITEM.match(line))
+        if single or not head:
             if begin is not None:
                 yield begin, at, False
                 begin = None
