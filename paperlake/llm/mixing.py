@@ -25,8 +25,9 @@ from paperlake.session import materialize
 #: A public byte-level BPE vocabulary (ranks file) and its splitting pattern.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Documents per bucket of the permutation, on average.
-BUCKET_ROWS = 2_000
+#: Documents per bucket of the permutation, on average, as long as there are no more buckets than MOST_BUCKETS: so many
+#: are summed up in one place per source, and one per source is sorted.
+BUCKET_ROWS, MOST_BUCKETS = 2_000, 1 << 16
 #: The table of targets is read to the driver; it lists sources, not documents.
 MAX_SOURCES = 10_000
 
@@ -156,7 +157,7 @@ def mix(sizes: DataFrame, chosen: list[Budget], seed: int = 7) -> DataFrame:
     """
     spark = sizes.sparkSession
     total_rows = sizes.count()
-    buckets = 1 << max(4, math.ceil(math.log2(max(1, total_rows) / BUCKET_ROWS + 1)))
+    buckets = min(MOST_BUCKETS, 1 << max(4, math.ceil(math.log2(max(1, total_rows) / BUCKET_ROWS + 1))))
     rows = [(b.source, b.passes, b.rest) for b in chosen if b.tokens]
     table = F.broadcast(spark.createDataFrame(rows, "source string, passes int, rest bigint"))  # at most MAX_SOURCES rows
     key = F.xxhash64(F.lit(seed), F.col("doc_id"))
@@ -167,11 +168,11 @@ def mix(sizes: DataFrame, chosen: list[Budget], seed: int = 7) -> DataFrame:
     placed = used.join(ends, ["source", "bucket"])
     running = F.sum("n_tokens").over(Window.partitionBy("source", "bucket").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
     columns = ["doc_id", "source", "n_tokens", "passes"]
-    inside = placed.where("whole").select(*columns, F.lit(True).alias("extra"))
-    edge = placed.where("not whole and left > 0").withColumn("running", running).select(*columns, (F.col("running") <= F.col("left")).alias("extra"))
-    outside = placed.where("not whole and left <= 0").select(*columns, F.lit(False).alias("extra"))
+    splits = ~F.col("whole") & (F.col("left") > 0)
+    settled = placed.where(~splits).select(*columns, F.col("whole").alias("extra"))
+    edge = placed.where(splits).withColumn("running", running).select(*columns, (F.col("running") <= F.col("left")).alias("extra"))
     copies = F.col("passes") + F.col("extra").cast("int")
-    uses = inside.unionByName(edge).unionByName(outside).where(copies > 0).withColumn("block", F.explode(F.sequence(F.lit(1), copies)))
+    uses = settled.unionByName(edge).where(copies > 0).withColumn("block", F.explode(F.sequence(F.lit(1), copies)))
     return uses.select("doc_id", "source", "n_tokens", "block", F.xxhash64(F.lit(seed), F.col("block"), F.col("doc_id")).alias("place"))
 
 

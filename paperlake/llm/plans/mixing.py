@@ -29,12 +29,18 @@ def p9_tempered_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.shares(spark, mixed, chosen)
 
 
+def p9_repeat_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The smallest exponent at which no source passes its limit."""
+    mixed, chosen = _planned(spark, sf_dir, "repeats")
+    return op.shares(spark, mixed, chosen)
+
+
 def p9_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return documents.groupBy(op.normalized_source(F.col("source")).alias("source")).agg(F.count("*").alias("n_documents"))
 
 
-QUERIES = {"p9_mix": p9_mix, "p9_shares": p9_shares, "p9_tempered_shares": p9_tempered_shares, "p9_sources": p9_sources}
+QUERIES = {"p9_mix": p9_mix, "p9_shares": p9_shares, "p9_tempered_shares": p9_tempered_shares, "p9_repeat_shares": p9_repeat_shares, "p9_sources": p9_sources}
 ORACLES = {
     "p9_sources": r"""
 SELECT nullif(regexp_replace(lower(trim(source)), '[\s_-]+', '_', 'g'), '') AS source, count(*) AS n_documents FROM documents GROUP BY 1

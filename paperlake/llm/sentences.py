@@ -20,15 +20,31 @@ LOWER = "a-zß-öø-ÿœšžа-яёα-ω"
 UNCASED = "฀-๿ऀ-ॿ一-鿿ぁ-ヿ㐀-䶿"
 BREAK, KEEP = True, False
 
-# Abbreviations of the languages, by what may follow them within a sentence.
-TITLES = "Dr|Prof|Mr|Mrs|Ms|Sr|Sra|Srta|Dra|Mme|Mlle|MM|M|dott|prof|sig|ing|Hr|Fr|проф|акад|डॉ|श्री"
-NUMBERED = (
-    "Fig|Figs|Eq|Eqs|Sec|Secs|Ref|Refs|Vol|No|no|nos|Nos|Tab|Ch|App|p|pp|fig|figs|éq|éqs|eq|ec|núm|núms|n|vol|cap|art|tab|Abb|S|Nr|Bd|Kap|рис|табл|стр|гл|"
-    "approx|aprox|env|ca|num|ex|ej|es|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sep|Sept|Oct|Nov|Dec|al|cf|vgl|vs|sec|ff|sqq"
-)
-POINTING = r"cf|vgl|Vgl|vs|bzw|s|i\.\s?e|e\.\s?g|z\.\s*B|d\.\s*h|u\.\s*a|см|См|т\.\s*е|p\.\s*ex|p\.\s*ej|ad\s+es|approx|aprox|ca|App|Anh|Eq|Fig|Sec|Tab|Abb|Ref|Vol|Nr|S|Kap|EE"
+# Abbreviations of the languages: titles, words before a number, and words before more of the sentence. Those
+# under "" are used in references of any language.
+TITLES = {
+    "": "Dr|Prof", "en": "Mr|Mrs|Ms", "de": "Hr|Fr", "fr": "MM|M|Mme|Mlle", "es": "Sr|Sra|Srta|Dra", "it": "dott|prof|sig|ing", "pt": "Sr|Sra|Dra", "ru": "проф|акад",
+    "hi": "डॉ|श्री",
+}
+NUMBERED = {
+    "": "Fig|Figs|fig|figs|Eq|Eqs|eq|Sec|Secs|Ref|Refs|Vol|vol|No|no|Nos|nos|Tab|tab|Ch|App|p|pp|n|num|ca|al|cf|vs|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sep|Sept|Oct|Nov|Dec",
+    "en": "approx|ex|sec|ff|sqq", "de": "Abb|S|Nr|Bd|Kap|vgl|ff", "fr": "éq|éqs|env|ex|art", "es": "ec|núm|núms|aprox|art|cap|ej|es", "it": "cap|art|sec|es", "pt": "aprox|cap|art|ex",
+    "ru": "рис|табл|стр|гл",
+}
+POINTING = {
+    "": "cf|vs|ca|App|Eq|Fig|Sec|Tab|Ref|Vol|EE", "en": r"i\.\s?e|e\.\s?g|approx", "de": r"vgl|Vgl|bzw|s|z\.\s*B|d\.\s*h|u\.\s*a|Anh|Abb|Nr|S|Kap", "fr": r"p\.\s*ex",
+    "es": r"p\.\s*ej|aprox", "it": r"ad\s+es", "pt": r"p\.\s*ex|aprox", "ru": r"см|См|т\.\s*е",
+}
 MONTHS = "Januar|Februar|März|April|Mai|Juni|Juli|August|September|Oktober|November|Dezember"
 
+
+def abbreviations(*languages: str) -> list[tuple[bool, str, str]]:
+    """No break behind the abbreviations of the languages; one rule for each kind."""
+    of = lambda kind: "|".join(kind[k] for k in languages if k in kind)
+    kinds = [(of(TITLES), r""), ("|".join(x for x in (of(NUMBERED), of(POINTING)) if x), r"\s*[\d(\[½]"), (of(POINTING), rf"\s*[{UPPER}]")]
+    return [(KEEP, rf"(?<!\w)(?:{words})\.", after) for words, after in kinds if words]
+
+
 COMMON = [
     (KEEP, r"\d\.", r"\d"),  # decimals, versions
     (BREAK, rf"[{LOWER}]{{7}}[.!?]+", rf"\s+[{UPPER}][{LOWER}’' ]"),  # a long word is no abbreviation; settles most places
@@ -36,11 +52,8 @@ COMMON = [
     (KEEP, r"", r"\s?[—–]\s*(?![A-Z])"),
     (KEEP, r"", rf"\s*[“„«\"(\[‘]?[{LOWER}](?![{UPPER}])"),  # a sentence does not begin with a small letter
     (KEEP, rf"(?<!\w)[{LOWER}]\.", rf"\s?[{UPPER}]\."),  # z. B., u. U.
-    (KEEP, rf"(?<!\w)(?:{TITLES})\.", r""),
-    (KEEP, rf"(?<!\w)(?:{NUMBERED}|{POINTING})\.", r"\s*[\d(\[½]"),
     (BREAK, rf"\d\s[{UPPER}]\.", rf"\s+[“„«¿¡(]?[{UPPER}]"),  # a unit such as K, not an initial
     (BREAK, rf"(?:App|Anh|Ref|Eq|Tab)\.\s[{UPPER}]\.", rf"\s+[“„«¿¡(]?[{UPPER}]"),
-    (KEEP, rf"(?<!\w)(?:{POINTING})\.", rf"\s*[{UPPER}]"),
     (KEEP, rf"(?<![\w’'])[{UPPER}]\.", rf"\s*[{UPPER}]"),  # initials
     (KEEP, rf"(?<!\w)[{UPPER}]\.[{UPPER}]\.", rf"\s*[{UPPER}]"),
     (KEEP, r"\.", r"\s*\(\d"),
@@ -50,6 +63,7 @@ COMMON = [
     (BREAK, r"", rf"\s+[“„«\"(\[‘¿¡#-]*\s*[{UPPER}{UNCASED}0-9]|\s+[a-z][{UPPER}]|\s+[√∑∫$≤≥±]"),
     (KEEP, r"", r""),
 ]
+#: Days in German; they hold in all cascades, as texts quote German passages and no other language writes this.
 GERMAN = [(KEEP, r"(?<!\w)(?:[Aa]m|AM)\s+\d+\.", r"\s"), (KEEP, r"\d\.", rf"\s+(?:{MONTHS})\b")]
 WIDE = [
     (KEEP, r"[。！？!?][”」』’]+", r"[^。！？!?\n“「『]{0,16}?(?:问道|問道|问|說道|说道|写道|答道|說|说)"),  # the speaker follows
@@ -60,7 +74,13 @@ WIDE = [
 ]
 HINDI = [(BREAK, r"[।॥][”’)]*(?:\s*\[\d[\d, –-]*\])*", r"")]
 THAI = [(BREAK, r"[฀-๿0-9)”]", r" +[฀-๿]"), (KEEP, r"[฀-๿]", r" ")]
-TABLES = {"de": [GERMAN, COMMON], "wide": [WIDE, GERMAN, COMMON], "hi": [HINDI, GERMAN, COMMON], "th": [THAI, HINDI, GERMAN, COMMON], "": [COMMON], "any": [GERMAN, COMMON]}
+LANGUAGES = sorted({*TITLES, *NUMBERED, *POINTING} - {""})
+#: Without a label the abbreviations of all languages hold.
+ALL = [*GERMAN, *abbreviations("", *LANGUAGES)]
+#: The cascades: of the Latin, Cyrillic and Greek paragraphs of a language, of those without a known label, and of those in
+#: scripts that decide by themselves (whose abbreviations are those of quoted languages).
+TABLES = {code: [GERMAN, abbreviations("", code), COMMON] for code in LANGUAGES}
+TABLES |= {"": [ALL, COMMON], "wide": [WIDE, ALL, COMMON], "hi": [HINDI, ALL, COMMON], "th": [THAI, HINDI, ALL, COMMON]}
 
 FINAL = re.compile(
     r"(?:[.!?]+|…|[。！？．｡।॥]+)"
@@ -88,7 +108,7 @@ class Rules:
 
     def decide(self, text: str, at: int) -> bool:
         if QUICK_AFTER.match(text, at) and QUICK_BEFORE.match(text, at - 8):
-            return BREAK  # what the long-word rule says, without the walk through the table
+            return BREAK  # what the long-word rule says; no rule before it in any cascade can match here (tested)
         before = text[max(0, at - self.REACH) : at]
         for decision, b, a in self.rules:
             if (a is None or a.match(text, at)) and (b is None or b.search(before)):
@@ -104,16 +124,16 @@ OTHER_LETTER = re.compile("[฀-๿一-鿿ぁ-ヿऀ-ॿ]")
 
 
 def table_for(paragraph: str, language: str | None) -> str:
-    """The table is chosen by the paragraph's own script; only among Latin-script languages the label counts."""
+    """The cascade is chosen by the paragraph's own script, and among languages of one script by the label."""
     if paragraph.isascii() or not OTHER_LETTER.search(paragraph):
-        return "any" if not language else "de" if language == "de" else "any"
+        return language if language in TABLES and language not in ("hi", "wide", "th") else ""
     if THAI_LETTER.search(paragraph):
         return "th"
     if WIDE_LETTER.search(paragraph):
         return "wide"
     if HINDI_LETTER.search(paragraph):
         return "hi"
-    return "any" if not language else "de" if language == "de" else "any"
+    return ""
 
 
 def blocks(text: str) -> Iterator[tuple[int, int, bool]]:

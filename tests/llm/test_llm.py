@@ -1,6 +1,7 @@
 """The text operators: vectors, brute force, round trips, held-out accuracy and edge cases."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -429,6 +430,26 @@ def test_units(marked):
     assert got == want, [text[a:b] for a, b in sentences.sentences(text)]
 
 
+def test_label_decides():
+    """An abbreviation of one language is a word of another."""
+    assert len(sentences.sentences("Siehe Bd. Vier steht dort. Das ist so.", "de")) == 3 and len(sentences.sentences("Das gilt bzw. Karl sagt es.", "de")) == 1
+    assert len(sentences.sentences("They said bzw. Karl says it.", "en")) == 2 and len(sentences.sentences("They said bzw. Karl says it.")) == 1
+
+
+def test_quick_path_agrees_with_the_tables():
+    slow = {}
+    for name, tables in sentences.TABLES.items():
+        slow[name] = [(d, re.compile(f"(?:{b})\\Z"), re.compile(a)) for table in tables for d, b, a in table]
+    for before in ("a computed", "Wertebereich", "«expression", "(результат", "am 3 eigenwert"):
+        for mark in ".!?":
+            for after in (" The end", "\nÜber", "  Das ", " В нём"):
+                text = before + mark + after
+                at = len(before) + 1
+                for name, rules in slow.items():
+                    first = next(d for d, b, a in rules if a.match(text, at) and b.search(text[max(0, at - 24) : at]))
+                    assert sentences.RULES[name].decide(text, at) == first, (name, text)
+
+
 def test_layout():
     text = "## 1. Title here. Yes\r\n\r\nOne line\nbreaks here. Two.\n- item one. Still it\n- item\n\nno mark\n\n  \n"
     assert [text[a:b] for a, b in sentences.sentences(text)] == ["## 1. Title here. Yes", "One line\nbreaks here.", "Two.", "- item one. Still it", "- item", "no mark"]
