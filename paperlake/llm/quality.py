@@ -1,9 +1,9 @@
 """Per-document text statistics, their exact per-language ranks, and an outlier score that tells prose from the rest.
 
-Statistics are built-in expressions. Each is kept as an integer level (ratios in 1/4096, counts on a fine logarithmic
-scale), so that the empirical distribution of a statistic in a language has at most LEVELS + 1 steps however many rows
-there are. Ranks come from one range-partitioned sort of the (statistic, language, level) counts: partitions are summed,
-the sums become partition offsets, and offset plus running sum is the exact number of rows below. Ties share a rank.
+Statistics are built-in expressions. Equal values of a statistic in a language are counted first, so a value that a third
+of all rows share is one row from then on; the (statistic, language, value) counts are range-partitioned and sorted,
+partitions are summed, the sums become partition offsets, and offset plus running sum is the exact number of rows below.
+Ties share a rank.
 
 The score ranks a row among those rows of its language that hold a sentence end; it selects the rows of ``not_prose``.
 """
@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 from paperlake.llm.sampling import CODE_OF
 from paperlake.session import materialize
 
-LEVELS = 4096
-
 # Common words of the languages, for the share of common words.
 COMMON_WORDS = """the of and is that with for not this are was but only to in be a by at on as it we
 der die das und ist nicht mit für von auf dass den im bei wir
@@ -34,7 +32,7 @@ COMMON = r"(?iU)(?<!\p{L})(?=\p{L}{1,5}+(?!\p{L}))(?:" + "|".join(sorted(set(COM
 SENTENCE_END = r"\p{L}[\p{M}\p{Cf}]*\p{L}[\p{M}\p{Cf})\]»”\"’*_`]*[.!?…]|[。！？．｡]"
 #: A sentence end that nothing continues: not the dot of a file name, an address or an abbreviation inside a phrase.
 CLOSED_END = r"\p{L}[\p{M}\p{Cf}]*+\p{L}[\p{M}\p{Cf})\]»”\"’*_`]*+(?:[ \u00a0\u202f]?[!?]|[.…])(?![\p{L}\p{N}_/@,;-]|\s+[\p{Ll}\p{N}])|[。！？．｡]"
-LINE_END = r"(?m)[.!?…。！？:;][)\]»”\"’]*[ \t]*$"
+LINE_END = r"(?md)[.!?…。！？:;][)\]»”\"’]*[ \t\r]*$"
 STATISTICS = ["n_words", "mean_word_len", "symbol_share", "digit_share", "line_end_share", "common_share", "sentence_rate", "distinct_line_share"]
 
 
@@ -69,12 +67,13 @@ def text_statistics(results: DataFrame, *further: str) -> DataFrame:
         F.char_length(t).cast("bigint").alias("n_chars"),
         count_of(r"\p{L}+", t).cast("bigint").alias("n_words"),
         chars_in(r"\p{L}+", t).cast("bigint").alias("n_letters"),
-        count_of(r"[0-9]", t).cast("bigint").alias("n_digits"),
-        count_of(r"\s", t).cast("bigint").alias("n_spaces"),
-        count_of(r"[^\x00-\x7f]", t).cast("bigint").alias("n_high"),
-        count_of(r"(?m)^.*\S.*$", t).cast("bigint").alias("n_lines"),
+        chars_in(r"[0-9]+", t).cast("bigint").alias("n_digits"),
+        chars_in(r"\s+", t).cast("bigint").alias("n_spaces"),
+        chars_in(r"[^\x00-\x7f]+", t).cast("bigint").alias("n_high"),
+        count_of(r"(?md)^.*\S.*$", t).cast("bigint").alias("n_lines"),
         count_of(LINE_END, t).cast("bigint").alias("n_line_ends"),
         count_of(SENTENCE_END, t).cast("bigint").alias("n_sentence_ends"),
+        count_of(CLOSED_END, t).cast("bigint").alias("n_closed"),
         count_of(COMMON, t).cast("bigint").alias("n_common"),
         F.size(F.array_distinct(F.filter(F.split(t, "\n"), lambda x: F.trim(x) != ""))).cast("bigint").alias("n_distinct_lines"),
     )
@@ -93,32 +92,22 @@ def text_statistics(results: DataFrame, *further: str) -> DataFrame:
     )
 
 
-def level_of(name: str) -> Column:
-    """Integer level of a statistic, 0 to LEVELS."""
-    c = F.col(name)
-    if name in ("n_words", "mean_word_len"):
-        raw = F.floor(F.log2(c + 1) * 128)
-    else:
-        raw = F.floor(c * LEVELS)
-    return F.least(F.greatest(raw, F.lit(0)), F.lit(LEVELS)).cast("int")
-
-
-def with_levels(stats: DataFrame) -> DataFrame:
-    return stats.withColumns({f"level_{s}": level_of(s) for s in STATISTICS})
+def long_form(stats: DataFrame, names: list[str], *columns: str) -> DataFrame:
+    """One row per row and statistic: ``columns``, lang, stat, value."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(s).alias("stat"), F.col(s).cast("double").alias("value")) for s in names]))
+    return stats.select(*columns, "lang", pairs.alias("x")).select(*columns, "lang", "x.stat", "x.value")
 
 
-def level_ranks(levelled: DataFrame, partitions: int | None = None) -> DataFrame:
-    """stat, lang, level, n_here, n_below, n_total: exact counts below each level.
+def value_ranks(stats: DataFrame, names: list[str], reference: Column | None = None, partitions: int | None = None) -> DataFrame:
+    """stat, lang, value, n_rows, n_here, n_below, n_total for every value that occurs: rows with it, and of the
+    ``reference`` rows (default: all) those with it, those below it, and all of the language. Exact.
 
-    Levels are counted first (a hot level is one row from then on), the counts are range-partitioned and sorted, running
-    sums are taken within each partition, and partition totals give the offsets. Only those totals – one row per
-    partition, statistic and language – are window-summed in one place.
+    Only partition totals – one row per partition, statistic and language – are window-summed in one place.
     """
-    spark = levelled.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    long = levelled.select("lang", F.explode(F.array(*[F.struct(F.lit(s).alias("stat"), F.col(f"level_{s}").alias("level")) for s in STATISTICS])).alias("x"))
-    counts = long.groupBy("x.stat", "lang", "x.level").agg(F.count("*").alias("n_here"))
-    ranged = counts.repartitionByRange(partitions, "stat", "lang", "level").sortWithinPartitions("stat", "lang", "level").withColumn("part", F.spark_partition_id())
+    partitions = partitions or int(stats.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    marked = stats.withColumn("_ref", F.lit(True) if reference is None else F.coalesce(reference, F.lit(False)))
+    counts = long_form(marked, names, "_ref").groupBy("stat", "lang", "value").agg(F.count("*").alias("n_rows"), F.count_if("_ref").alias("n_here"))
+    ranged = counts.repartitionByRange(partitions, "stat", "lang", "value").sortWithinPartitions("stat", "lang", "value").withColumn("part", F.spark_partition_id())
 
     def running(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         carried: dict[tuple, int] = {}
@@ -130,34 +119,30 @@ def level_ranks(levelled: DataFrame, partitions: int | None = None) -> DataFrame
                 carried[k] = carried.get(k, 0) + int(total)
             yield b.assign(n_within=below)
 
-    partial = materialize(ranged.mapInPandas(running, "stat string, lang string, level int, n_here bigint, part int, n_within bigint"), "level-ranks")
+    partial = materialize(ranged.mapInPandas(running, "stat string, lang string, value double, n_rows bigint, n_here bigint, part int, n_within bigint"), "value-ranks")
     totals = partial.groupBy("stat", "lang", "part").agg(F.sum("n_here").alias("n_part"))
     w = Window.partitionBy("stat", "lang").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("offset", F.coalesce(F.sum("n_part").over(w), F.lit(0))).withColumn(
         "n_total", F.sum("n_part").over(Window.partitionBy("stat", "lang"))
     )
     return partial.join(offsets, ["stat", "lang", "part"]).select(
-        "stat", "lang", "level", "n_here", (F.col("n_within") + F.col("offset")).alias("n_below"), "n_total"
+        "stat", "lang", "value", "n_rows", "n_here", (F.col("n_within") + F.col("offset")).alias("n_below"), "n_total"
     )
 
 
-def distribution_arrays(ranks: DataFrame) -> DataFrame:
-    """One row per language: for every statistic a dense array of the rows below each level (LEVELS + 2 entries, the last
-    is the total). Its size is bounded by languages x statistics x levels, not by the data: about 0.3 MB a language."""
-
-    def dense(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        here = [0] * (LEVELS + 1)
-        for level, n in zip(rows["level"], rows["n_here"], strict=True):
-            here[level] = int(n)
-        below = [0]
-        for n in here:
-            below.append(below[-1] + n)
-        return pd.DataFrame({"stat": [key[0]], "lang": [key[1]], "below": [below]})
-
-    arrays = ranks.groupBy("stat", "lang").applyInPandas(dense, "stat string, lang string, below array<bigint>")
-    return arrays.groupBy("lang").agg(*[F.max(F.when(F.col("stat") == s, F.col("below"))).alias(f"below_{s}") for s in STATISTICS])
+def with_ranks(rows: DataFrame, ranks: DataFrame, n_rows: int) -> DataFrame:
+    """Long rows with the ranks of their values. Values of more than one row in HOT_ONE_IN (there are at most HOT_ONE_IN
+    of them per statistic) are looked up in a broadcast table; the rest have few rows each and are joined by key."""
+    keys = ["stat", "lang", "value"]
+    ranks = materialize(ranks, "ranks")
+    hot = F.col("n_rows") > max(1, n_rows // HOT_ONE_IN)
+    found = rows.join(F.broadcast(ranks.where(hot).drop("n_rows")), keys, "left")
+    rest = found.where("n_total is null").select(*rows.columns).join(ranks.where(~hot).drop("n_rows"), keys)
+    return found.where("n_total is not null").unionByName(rest)
 
 
+#: A value of more than one row in so many is hot.
+HOT_ONE_IN = 1000
 #: The statistics that make the score, with the side that speaks against prose (0: both). None of them looks for
 #: sentence ends inside a text, which ``not_prose`` checks afterwards.
 SCORED = {"common_share": -1, "line_end_share": -1, "distinct_line_share": -1, "symbol_share": 1, "digit_share": 1, "mean_word_len": 0}
@@ -170,19 +155,14 @@ def outlier_scores(stats: DataFrame) -> DataFrame:
     itself) that lie at least as far out. Ties count, so a usual value adds nothing; junk does not hide junk, however
     much of a language it is. A language without reference rows has the score 0.
     """
-    levelled = materialize(with_levels(stats), "text-statistics")
-    # languages are a closed set (codes of the table and "und"), so this side has a fixed bound
-    arrays = F.broadcast(distribution_arrays(level_ranks(levelled.where("n_sentence_ends > 0"))))
-    joined = levelled.join(arrays, "lang", "left")
-    n_ref = F.coalesce(F.element_at(f"below_{STATISTICS[0]}", LEVELS + 2), F.lit(0))
-    surprise = []
-    for s, side in SCORED.items():
-        low = F.element_at(f"below_{s}", F.col(f"level_{s}") + 2)
-        high = n_ref - F.element_at(f"below_{s}", F.col(f"level_{s}") + 1)
-        tail = low if side < 0 else high if side > 0 else F.least(n_ref, 2 * F.least(low, high))
-        surprise.append(F.coalesce(-F.log((tail + 1) / (n_ref + 1)), F.lit(0.0)))
-    columns = [c for c in levelled.columns if not c.startswith("level_")]
-    return joined.select(*columns, n_ref.alias("n_ref"), sum(surprise[1:], surprise[0]).alias("score"))
+    kept = materialize(stats.withColumn("_row", F.monotonically_increasing_id()), "text-statistics")
+    names, n_rows = list(SCORED), kept.count()
+    ranked = with_ranks(long_form(kept, names, "_row"), value_ranks(kept, names, F.col("n_sentence_ends") > 0), n_rows)
+    low, high = F.col("n_below") + F.col("n_here"), F.col("n_total") - F.col("n_below")
+    side = F.element_at(F.create_map(*[F.lit(x) for pair in SCORED.items() for x in pair]), F.col("stat"))
+    tail = F.when(side < 0, low).when(side > 0, high).otherwise(F.least(F.col("n_total"), 2 * F.least(low, high)))
+    scores = ranked.groupBy("_row").agg(F.max("n_total").alias("n_ref"), F.sum(-F.log((tail + 1) / (F.col("n_total") + 1))).alias("score"))
+    return kept.join(scores, "_row").drop("_row")
 
 
 #: Six independent tails of prose would add up to this in a quarter of its rows.
@@ -205,7 +185,6 @@ def not_prose(results: DataFrame) -> DataFrame:
     made of many characters beyond ASCII without any known mark are garbled prose, not lists. Null and blank texts are
     never cases.
     """
-    scored = outlier_scores(text_statistics(results.where(F.col("text").rlike(r"\S")), "text"))
-    unclosed = count_of(CLOSED_END, F.col("text")) <= MOST_CLOSED * F.col("n_words")
-    # one expression, so that sentences are looked for only in the selected rows
-    return scored.where(F.when(outlying() & (F.col("n_high") < 0.15 * F.col("n_chars")), unclosed).otherwise(F.lit(False))).select("result_id")
+    scored = outlier_scores(text_statistics(results.where(F.col("text").rlike(r"\S"))).select("result_id", "lang", *SCORED, "n_sentence_ends", "n_high", "n_chars", "n_closed", "n_words"))
+    unclosed = F.col("n_closed") <= MOST_CLOSED * F.col("n_words")
+    return scored.where(outlying() & (F.col("n_high") < 0.15 * F.col("n_chars")) & unclosed).select("result_id")

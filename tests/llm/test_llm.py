@@ -210,7 +210,7 @@ def test_not_prose(results, rows):
     assert quality.not_prose(results.limit(0)).count() == 0
 
 
-def test_ranks_decide_what_is_no_prose(spark, rows):
+def test_ranks_decide_what_is_no_prose(spark, rows, monkeypatch):
     prose = [(i, f"The field of run {i} is bounded, and it holds for all of the cases. We see that in the {'data ' * (i % 9 + 1)}of the paper.", "en") for i in range(60)]
     listed = "\n".join(f"sparse bound {i} | 4.{i} | 7.{i}" for i in range(12))
     junk = [(100, listed + "\nmain.tex", "en"), (101, listed + "\nhttps://www.example.org/a", "en"), (102, listed + "\nSmith et al., 2004", "en"), (103, listed, "en")]
@@ -218,6 +218,8 @@ def test_ranks_decide_what_is_no_prose(spark, rows):
     plain = [(200, "The field of the run is bounded, and it holds for all of the cases that we see in the data:", "en")]
     df = spark.createDataFrame(prose + junk + plain, "result_id bigint, text string, lang_label string")
     assert rows(quality.not_prose(df)) == [(100,), (101,), (102,), (103,)]
+    monkeypatch.setattr(quality, "outlying", lambda: F.lit(True))
+    assert rows(quality.not_prose(df)) == [(100,), (101,), (102,), (103,), (200,)]
 
 
 def test_statistics(results):
@@ -228,12 +230,35 @@ def test_statistics(results):
 
 
 def test_exact_ranks(spark):
-    data = [(i, "x" * (i % 7) + " 1" * (i % 5), "en" if i % 3 else None) for i in range(300)]
-    levelled = quality.with_levels(quality.text_statistics(spark.createDataFrame(data, "result_id bigint, text string, lang_label string"))).collect()
-    df = quality.with_levels(quality.text_statistics(spark.createDataFrame(data, "result_id bigint, text string, lang_label string")))
-    for r in quality.level_ranks(df, 5).collect():
-        values = [x[f"level_{r['stat']}"] for x in levelled if x["lang"] == r["lang"]]
-        assert r["n_below"] == sum(v < r["level"] for v in values) and r["n_here"] == values.count(r["level"]) and r["n_total"] == len(values)
+    data = [(i, "x" * (i % 7) + " 1" * (i % 5), "en" if i % 3 else None) for i in range(300)] + [(300, None, None), (301, "", "en")]
+    stats = quality.text_statistics(spark.createDataFrame(data, "result_id bigint, text string, lang_label string"))
+    rows = stats.collect()
+    for r in quality.value_ranks(stats, quality.STATISTICS, F.col("n_digits") > 1, 5).collect():
+        same = [x for x in rows if x["lang"] == r["lang"]]
+        ref = [x[r["stat"]] for x in same if x["n_digits"] > 1]
+        assert r["n_rows"] == sum(x[r["stat"]] == r["value"] for x in same)
+        assert r["n_below"] == sum(v < r["value"] for v in ref) and r["n_here"] == ref.count(r["value"]) and r["n_total"] == len(ref)
+
+
+def test_scores_equal_brute_force(spark):
+    import math
+
+    data = [(i, f"The case {i} is bounded{' 7' * (i % 4)} {'of data ' * (i % 5)}in it." if i % 3 else f"x{i}|{i % 7}", "en" if i % 5 else "de") for i in range(90)]
+    stats = quality.text_statistics(spark.createDataFrame(data, "result_id bigint, text string, lang_label string")).cache()
+    rows = stats.collect()
+    for hot in (1, 1000):
+        quality.HOT_ONE_IN, before = hot, quality.HOT_ONE_IN
+        got = {r["result_id"]: (r["n_ref"], r["score"]) for r in quality.outlier_scores(stats).collect()}
+        quality.HOT_ONE_IN = before
+        for x in rows:
+            ref = [r for r in rows if r["lang"] == x["lang"] and r["n_sentence_ends"] > 0]
+            score = 0.0
+            for s, side in quality.SCORED.items():
+                low, high = sum(r[s] <= x[s] for r in ref), sum(r[s] >= x[s] for r in ref)
+                tail = low if side < 0 else high if side > 0 else min(len(ref), 2 * min(low, high))
+                score -= math.log((tail + 1) / (len(ref) + 1))
+            assert got[x["result_id"]][0] == len(ref) and abs(got[x["result_id"]][1] - score) < 1e-9
+    assert quality.outlier_scores(stats.limit(0)).count() == 0
 
 
 # 7 -------------------------------------------------------------------------------------------------------------------
