@@ -1,11 +1,13 @@
 """One consistent form for texts that look the same.
 
-Every token is run through an edit automaton over a trie of known words. An edge between look-alike letters and the
-skipping of an ignorable character cost nothing, every other edit costs more than the budget of zero, so a token reaches
-exactly the known words that read the same. The one in the script of the text is its spelling; tokens that reach no word
-are rewritten by the look-alike table. Width, ligatures, kinds of space and hyphen, and the composition of accents are
-settled by table before. All decisions depend only on what does not change between look-alike texts, so two texts that
-read the same get the same form.
+Every token is run through a weighted edit automaton over a trie of known words. An edge between look-alike letters and
+the skipping of an ignorable character cost nothing, a replaced, missing or further letter costs one. With the budget of
+zero, which is the one for texts that read the same, a token reaches exactly the known words that look like it, and the
+one most frequent in texts of the same script is its spelling: a Latin abbreviation in a Russian text stays Latin, a
+Russian word stays Russian, whichever letters were used. Tokens that reach no word are rewritten by the look-alike table
+into the script of the text. Width, ligatures, kinds of space and hyphen, and the composition of accents are settled by
+table before. All decisions depend only on what does not change between look-alike texts, so two texts that read the same
+get the same form.
 """
 
 from __future__ import annotations
@@ -93,34 +95,67 @@ class WordTrie:
                 node = node.setdefault(c, {})
             node[""] = (word, n)
 
-    def zero_cost(self, token: str) -> list[tuple[str, int]]:
-        """All words at distance zero: the automaton's live states are trie nodes; a state survives a character if the
-        character is ignorable or the node has an edge in the character's look-alike class."""
-        states = [self.root]
+    def reach(self, token: str, budget: int = 0) -> dict[str, tuple[int, int]]:
+        """word -> (cost, count) of all words within ``budget``. The automaton's live states are trie nodes with the least
+        cost to get there; after every character of the token states above the budget die."""
+        states = self._with_missing({id(self.root): (0, self.root)}, budget)
         for c in unicodedata.normalize("NFD", token):
             if c in IGNORABLE:
                 continue
-            states = [s[m] for s in states for m in CLASS_OF.get(c, c) if m in s]
+            alike, after = CLASS_OF.get(c, c), {}
+            for cost, node in states.values():
+                if cost < budget:
+                    self._keep(after, cost + 1, node)  # the token has a further letter
+                    for letter, child in node.items():
+                        if letter and letter not in alike:
+                            self._keep(after, cost + 1, child)
+                for letter in alike:
+                    if letter in node:
+                        self._keep(after, cost, node[letter])
+            states = self._with_missing(after, budget)
             if not states:
-                return []
-        return [s[""] for s in states if "" in s]
+                return {}
+        return {node[""][0]: (cost, node[""][1]) for cost, node in states.values() if "" in node}
+
+    @staticmethod
+    def _keep(states: dict, cost: int, node: dict) -> None:
+        if cost < states.get(id(node), (cost + 1,))[0]:
+            states[id(node)] = (cost, node)
+
+    def _with_missing(self, states: dict, budget: int) -> dict:
+        """Adds the states reached by letters that the token lacks."""
+        layer = states if budget else {}
+        while layer:
+            further: dict = {}
+            for cost, node in layer.values():
+                if cost < budget:
+                    for letter, child in node.items():
+                        if letter and cost + 1 < states.get(id(child), (budget + 1,))[0]:
+                            self._keep(further, cost + 1, child)
+            states |= further
+            layer = further
+        return states
 
 
 class Canonicalizer:
-    """Callable text -> canonical text. Null stays null, empty stays empty."""
+    """Callable text -> canonical text. Null stays null, empty stays empty. ``counts``: (script of the text, word) -> how
+    often."""
 
     CACHE = 200_000
 
-    def __init__(self, counts: dict[str, int]):
-        self.trie = WordTrie(counts)
+    def __init__(self, counts: dict[tuple[str, str], int]):
+        self.tries = {script: WordTrie({w: n for (c, w), n in counts.items() if c == script}) for script in ("latin", *LATIN_TO)}
         self.cache: dict[tuple[str, str], str] = {}
 
     def token(self, token: str, context: str) -> str:
         key = (token, context)
         if (known := self.cache.get(key)) is None:
-            script = script_of(token, context)
-            words = [(n, w) for w, n in self.trie.zero_cost(token) if script_of(w, script) == script and to_script(w, script) == w]
-            known = max(words)[1] if words else to_script(token, script)
+            words = [(n, w) for w, (_, n) in self.tries[context].reach(token).items()]
+            if context == "latin":
+                # texts of ASCII letters only are their own form, so here the Latin spelling always holds
+                script = script_of(token, context)
+                words = [(n, w) for n, w in words if to_script(w, script) == w]
+            known = max(words)[1] if words else to_script(token, script_of(token, context))
             if len(self.cache) >= self.CACHE:
                 self.cache.clear()
             self.cache[key] = known
@@ -134,22 +169,29 @@ class Canonicalizer:
         text = unicodedata.normalize("NFC", text)
         if not FOREIGN.search(text):
             return text
-        cyrillic, greek = len(STRICT_CYRILLIC.findall(text)), len(STRICT_GREEK.findall(text))
-        latin = len(STRICT_LATIN.findall(text))
-        context = "latin" if latin >= max(cyrillic, greek) else "cyrillic" if cyrillic >= greek else "greek"
+        context = text_script(text)
         words = FOREIGN if context == "latin" else WORD
         return unicodedata.normalize("NFC", words.sub(lambda m: self.token(m[0], context), text))
 
 
-def vocabulary(results: DataFrame, rows: int = 4000) -> dict[str, int]:
-    """Word counts of a bounded sample (``rows``): the spellings of the trie. Mixed-script tokens are no spellings."""
+def text_script(text: str) -> str:
+    """The script with most letters that look like no other; Latin if two are equal."""
+    cyrillic, greek, latin = (len(p.findall(text)) for p in (STRICT_CYRILLIC, STRICT_GREEK, STRICT_LATIN))
+    return "latin" if latin >= max(cyrillic, greek) else "cyrillic" if cyrillic >= greek else "greek"
+
+
+def vocabulary(results: DataFrame, rows: int = 4000) -> dict[tuple[str, str], int]:
+    """(script of the text, word) -> count, from a bounded sample (``rows``): the spellings of the tries. Tokens of mixed
+    scripts are no spellings."""
     counts: Counter = Counter()
     for text in bounded_sample(results.where("text is not null").select("result_id", "text"), "result_id", rows)["text"]:
-        counts.update(WORD.findall(unicodedata.normalize("NFC", text)))
-    return {w: n for w, n in counts.items() if n > 1 and to_script(w, script_of(w, "latin")) == w}
+        text = unicodedata.normalize("NFC", text.translate(TABLE))
+        context = text_script(text)
+        counts.update((context, w) for w in WORD.findall(text))
+    return {(c, w): n for (c, w), n in counts.items() if n > 1 and any(to_script(w, s) == w for s in ("latin", *LATIN_TO))}
 
 
-def canonical_texts(results: DataFrame, counts: dict[str, int]) -> DataFrame:
+def canonical_texts(results: DataFrame, counts: dict[tuple[str, str], int]) -> DataFrame:
     """result_id, canonical: the consistent form of every text. ASCII texts are that already and stay in the JVM."""
     convert = _converter(counts)
 
@@ -163,7 +205,7 @@ def canonical_texts(results: DataFrame, counts: dict[str, int]) -> DataFrame:
     return results.select("result_id", F.coalesce(canonical(F.when(odd, F.col("text"))), F.col("text")).alias("canonical"))
 
 
-def _converter(counts: dict[str, int]):
+def _converter(counts: dict[tuple[str, str], int]):
     held: list[Canonicalizer] = []
 
     def get() -> Canonicalizer:
@@ -174,7 +216,7 @@ def _converter(counts: dict[str, int]):
     return get
 
 
-def reading_keys(results: DataFrame, counts: dict[str, int]) -> DataFrame:
+def reading_keys(results: DataFrame, counts: dict[tuple[str, str], int]) -> DataFrame:
     """result_id, form (128-bit digest of the canonical form), exact (128-bit digest of the text)."""
     convert = _converter(counts)
 
@@ -191,7 +233,7 @@ def reading_keys(results: DataFrame, counts: dict[str, int]) -> DataFrame:
     )
 
 
-def reading_pairs(results: DataFrame, counts: dict[str, int]) -> DataFrame:
+def reading_pairs(results: DataFrame, counts: dict[tuple[str, str], int]) -> DataFrame:
     """result_a < result_b: rows whose texts differ but read the same.
 
     Only forms with at least two different texts reach the join; they are found by one pre-aggregation (min and max of
@@ -207,7 +249,7 @@ def reading_pairs(results: DataFrame, counts: dict[str, int]) -> DataFrame:
     )
 
 
-def reading_classes(results: DataFrame, counts: dict[str, int]) -> DataFrame:
+def reading_classes(results: DataFrame, counts: dict[tuple[str, str], int]) -> DataFrame:
     """One row per result: its class (smallest id that reads the same), the class's rows and different spellings."""
     keys = materialize(reading_keys(results, counts), "reading-keys")
     classes = keys.groupBy("form").agg(

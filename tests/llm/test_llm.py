@@ -94,7 +94,7 @@ DIFFERENT = [("10²", "102"), ("resume", "résumé"), ("v1", "v2"), ("a–b", "a
 
 @pytest.mark.parametrize(("a", "b"), SAME)
 def test_look_alikes_are_one(a, b):
-    form = canonical.Canonicalizer({"control": 5, "Когда": 3})
+    form = canonical.Canonicalizer({("latin", "control"): 5, ("cyrillic", "Когда"): 3})
     context = " in the context of some longer text" if not canonical.STRICT_CYRILLIC.search(b) else ""
     assert form(a + context) == form(b + context)
 
@@ -108,13 +108,39 @@ def test_others_stay_apart(a, b):
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet="aeopcxABсоаеТ é\u0301ﬁｆ\u200b-\u2010 .1", max_size=30))
 def test_form_is_stable(text):
-    form = canonical.Canonicalizer({"cape": 2})
+    form = canonical.Canonicalizer({("latin", "cape"): 2, ("cyrillic", "CO"): 2})
     assert form(form(text)) == form(text)
 
 
 def test_automaton_reaches_known_words():
-    trie = canonical.WordTrie({"scope": 3, "score": 1})
-    assert [w for w, _ in trie.zero_cost("ѕсо\u200bре")] == ["scope"] and trie.zero_cost("scopes") == []
+    trie = canonical.WordTrie({"scope": 3, "score": 1, "core": 2})
+    assert list(trie.reach("ѕсо\u200bре")) == ["scope"] and trie.reach("scopes") == {} == trie.reach("")
+    assert {w: c for w, (c, _) in trie.reach("scopes", 1).items()} == {"scope": 1}
+    assert {w: c for w, (c, _) in trie.reach("ѕсоrе", 1).items()} == {"score": 0, "scope": 1, "core": 1}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet="abc", max_size=5), st.integers(0, 2))
+def test_automaton_costs_are_edit_distances(token, budget):
+    def distance(x, y):
+        row = list(range(len(y) + 1))
+        for i, a in enumerate(x, 1):
+            before, row[0] = row[0], i
+            for j, b in enumerate(y, 1):
+                before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (a != b))
+        return row[-1]
+
+    known = ["abc", "a", "cab", "bbbb", "ac"]
+    got = {w: c for w, (c, _) in canonical.WordTrie(dict.fromkeys(known, 1)).reach(token, budget).items()}
+    assert got == {w: d for w in known if (d := distance(token, w)) <= budget}
+
+
+def test_vocabulary_selects_the_spelling():
+    """Letters that look alike on both sides: the known word decides, the table only without one."""
+    texts = ["Уровень CO растёт в городе", "Уровень СО растёт в городе", "Уровень CО растёт в городе"]
+    known = canonical.Canonicalizer({("cyrillic", "CO"): 4, ("cyrillic", "СО"): 1})
+    assert {known(t) for t in texts} == {texts[0]} and {canonical.Canonicalizer({})(t) for t in texts} == {texts[1]}
+    assert known("The CО level") == "The CO level"
 
 
 def test_reading_pairs(results, rows):
