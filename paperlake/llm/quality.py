@@ -10,11 +10,15 @@ The score ranks a row among those rows of its language that hold a sentence end;
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from unicodedata import category
 
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paperlake.llm.sampling import CODE_OF
 from paperlake.session import materialize
@@ -52,6 +56,65 @@ def chars_in(pattern: str, text: Column) -> Column:
     return F.char_length(text) - F.char_length(F.regexp_replace(text, pattern, ""))
 
 
+_MARK = re.compile("[.!?…。！？．｡]")
+_RUN = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
+_WIDE_MARKS, _WIDE_WORDS = set("。！？．｡"), re.compile("[的了是在のはをに]")
+_CLOSERS, _GAPS, _BLANKS = set(")]»”\"’*_`"), set(" \u00a0\u202f"), " \t\n\x0b\f\r"
+_WORDS = frozenset(COMMON_WORDS.split())
+
+
+def _bound(text: str, at: int) -> bool:
+    """Whether closing signs back from ``at`` and two letters stand there, combining marks and format characters left
+    aside."""
+    while at >= 0 and (text[at] in _CLOSERS or not text[at].isascii() and category(text[at]) in ("Mn", "Mc", "Me", "Cf")):
+        at -= 1
+    if at < 1 or not text[at].isalpha():
+        return False
+    at -= 1
+    while at >= 0 and not text[at].isascii() and category(text[at]) in ("Mn", "Mc", "Me", "Cf"):
+        at -= 1
+    return at >= 0 and text[at].isalpha()
+
+
+def sentence_counts(text: str) -> tuple[int, int, int]:
+    """What SENTENCE_END, CLOSED_END and COMMON count, in one pass: a mark is looked for first and what stands before and
+    behind it only then, which costs a tenth of the patterns."""
+    ends = closed = 0
+    for m in _MARK.finditer(text):
+        at = m.start()
+        mark = text[at]
+        if mark in _WIDE_MARKS:
+            ends += 1
+            closed += 1
+            continue
+        is_end = _bound(text, at - 1)
+        ends += is_end
+        if is_end or mark in "!?" and at and text[at - 1] in _GAPS and _bound(text, at - 2):
+            after = text[at + 1 : at + 2]
+            if after and (after.isalpha() or after.isnumeric() or after in "_/@,;-"):
+                continue
+            if after and after in _BLANKS:
+                behind = at + 1
+                while behind < len(text) and text[behind] in _BLANKS:
+                    behind += 1
+                if behind < len(text) and category(text[behind]) in ("Ll", "Nd", "Nl", "No"):
+                    continue
+            closed += 1
+    common = len(_WIDE_WORDS.findall(text)) if not text.isascii() else 0
+    for run in _RUN.findall(text):
+        if len(run) <= 5 or not run.isalpha():
+            for word in [run] if run.isalpha() else _LETTERS.findall(run):
+                common += word.lower() in _WORDS
+    return ends, closed, common
+
+
+@F.pandas_udf(T.StructType([T.StructField(n, T.LongType()) for n in ("n_sentence_ends", "n_closed", "n_common")]))
+def _counted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    for texts in batches:
+        yield pd.DataFrame([sentence_counts(t) for t in texts], columns=["n_sentence_ends", "n_closed", "n_common"])
+
+
 def text_statistics(results: DataFrame, *further: str) -> DataFrame:
     """result_id, lang, text_length (octets of the text, whatever the table says) and the counts and shares of the text;
     before these the ``further`` columns.
@@ -72,13 +135,12 @@ def text_statistics(results: DataFrame, *further: str) -> DataFrame:
         chars_in(r"[^\x00-\x7f]+", t).cast("bigint").alias("n_high"),
         count_of(r"(?md)^.*\S.*$", t).cast("bigint").alias("n_lines"),
         count_of(LINE_END, t).cast("bigint").alias("n_line_ends"),
-        count_of(SENTENCE_END, t).cast("bigint").alias("n_sentence_ends"),
-        count_of(CLOSED_END, t).cast("bigint").alias("n_closed"),
-        count_of(COMMON, t).cast("bigint").alias("n_common"),
+        _counted(t).alias("_counted"),
         F.size(F.array_distinct(F.filter(F.split(t, "\n"), lambda x: F.trim(x) != ""))).cast("bigint").alias("n_distinct_lines"),
     )
     share = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
     c = F.col
+    base = base.select("*", "_counted.*").drop("_counted")
     return base.withColumns(
         {
             "mean_word_len": share(c("n_letters"), c("n_words")),
