@@ -2,8 +2,10 @@
 
 A text is read into a tree (blocks, inline spans, HTML elements, LaTeX environments and commands, wiki and Markdown
 constructs, plain text). Which nodes carry content is inferred jointly: every node has a potential from its kind and its
-text, every parent-child edge a potential for the pair of states, and one upward and one downward sum-product pass give
-each node's content marginal. Both kinds of potentials are counts from labelled pages.
+shape (size, sentence ends, share of links, place among its siblings, parent), every parent-child edge a potential for the
+pair of states, and one upward and one downward sum-product pass give each node's content marginal. Node potentials are a
+logistic regression, edge potentials counts, both from labelled pages. Labels go by content: a list of links to other
+pages is dropped, a list of findings kept, though both are lists.
 """
 
 from __future__ import annotations
@@ -145,8 +147,11 @@ def parse(text: str) -> Node:
                 stack.append(node)
         elif group == "entity":
             add(Node("text", html.unescape(token).replace("\xa0", " ")))
-        elif group in ("template", "table"):
-            add(Node(group, token))
+        elif group == "template":
+            last = token[2:-2].rpartition("|")[2]
+            add(Node("template", "", [Node("text", last)] if "=" in last else parse(last).children))
+        elif group == "table":
+            add(_table(token))
         elif group == "wikilink":
             add(Node("link", "", [Node("text", token[2:-2].rsplit("|", 1)[-1])]))
         elif group == "link":
@@ -186,6 +191,25 @@ def parse(text: str) -> Node:
     return root
 
 
+def _table(token: str) -> Node:
+    """A wiki table, or one Markdown row, as rows of cells; rows of dashes and attributes are no content."""
+    wiki = token.startswith("{|")
+    rows = re.split(r"(?m)^\|-[^\n]*$", token[2:-2].partition("\n")[2]) if wiki else [token]
+    table = Node("list")
+    for row in rows:
+        cells = re.split(r"(?m)^[|!]+\+?|\|\||!!", row) if wiki else row.strip().strip("|").split("|")
+        if not wiki and not re.search(r"[^\s|:-]", row):
+            table.children.append(Node("rule"))
+            continue
+        shown = [parse(re.sub(r"^[^|\[\]{}\n]*=[^|\n]*\|(?!\|)", "", c).strip()).children for c in cells if c.strip()]
+        if shown:
+            item = Node("item")
+            for k, children in enumerate(shown):
+                item.children += [Node("text", " | ")] * (k > 0) + [Node("group", "", children)]
+            table.children.append(item)
+    return table
+
+
 def _command(token: str, stack: list[Node], add, close) -> None:
     body = token.lstrip("~")
     name = re.match(r"\\([A-Za-z]+)", body)[1]
@@ -206,23 +230,39 @@ def _command(token: str, stack: list[Node], add, close) -> None:
     elif name in POINTERS:
         add(Node("reference", " ".join(args)))
     else:
-        add(Node("layout", " ".join(args)))
+        add(Node("layout", "", [c for a in args for c in parse(a).children]))
 
 
 ENDS = re.compile(r"\w\w\W*[.!?。！？]")
 
 
-def features(root: Node) -> dict[int, tuple[str, str, str]]:
-    """What every node's own potential looks at: its kind, with the size of the text below it and whether that has the
-    end of a sentence. One pass from the leaves up."""
+CAPITALS = re.compile(r"\b[A-ZÀ-ÞА-Я]")
+
+
+def features(root: Node) -> dict[int, list[str]]:
+    """What every node's own potential looks at: its kind, and beside the kind its size, whether a sentence ends in it,
+    the share of its text that is links, how much of it is capitalised or figures, its place among its siblings and its
+    parent's kind. One pass from the leaves up, one down."""
     size: dict[int, int] = {}
+    linked: dict[int, int] = {}
     ends: dict[int, bool] = {}
-    out = {}
-    for n in reversed(list(root.walk())):
-        size[id(n)] = len(n.text.strip()) + sum(size[id(c)] for c in n.children)
-        ends[id(n)] = any(ends[id(c)] for c in n.children) or bool(n.text and ENDS.search(n.text))
-        grade = min(5, int(math.log10(size[id(n)] + 1) * 2)) if size[id(n)] else "-"
-        out[id(n)] = (f"kind={n.kind}", f"{n.kind}|{grade}", f"{n.kind}|{'end' if ends[id(n)] else 'open'}")
+    order = list(root.walk())
+    out: dict[int, list[str]] = {}
+    for n in reversed(order):
+        k, own, i = n.kind, len(n.text.strip()), id(n)
+        size[i] = own + sum(size[id(c)] for c in n.children)
+        linked[i] = size[i] if k == "link" else sum(linked[id(c)] for c in n.children)
+        ends[i] = any(ends[id(c)] for c in n.children) or bool(n.text and ENDS.search(n.text))
+        grade = min(5, int(math.log10(size[i] + 1) * 2)) if size[i] else "-"
+        links = 0 if not linked[i] else 1 if 2 * linked[i] < size[i] else 2
+        end = "end" if ends[i] else "open"
+        out[i] = [k, f"{k}|size{grade}", f"{k}|{end}", f"links{links}", f"{k}|links{links}", f"size{grade}", f"{end}|links{links}"]
+    for n in order:
+        for i, c in enumerate(n.children):
+            out[id(c)] += [f"{c.kind}<{n.kind}", f"{c.kind}|place{0 if i == 0 else 2 if i == len(n.children) - 1 else 1}"]
+            if c.text and len(c.text) < 60:
+                share = min(2, 2 * len(CAPITALS.findall(c.text)) // max(1, len(c.text.split())))
+                out[id(c)].append(f"{c.kind}<{n.kind}|capitals{share}|digits{any(x.isdigit() for x in c.text)}")
     return out
 
 
@@ -233,21 +273,30 @@ class ContentModel:
         self.node: dict[str, float] = {}
         self.edge = [[0.0, 0.0], [0.0, 0.0]]
 
-    def fit(self, pages: list[Node]) -> ContentModel:
-        seen: dict[str, list[float]] = defaultdict(lambda: [0.5, 0.5])
-        pairs = [[1.0, 1.0], [1.0, 1.0]]
-        states = [1.0, 1.0]
+    def own(self, of: list[str]) -> float:
+        """Log-odds of content by a node's own features."""
+        return self.node.get("", 0.0) + sum(self.node.get(f, 0.0) for f in of)
+
+    def fit(self, pages: list[Node], rounds: int = 8, rate: float = 0.15, decay: float = 1e-4) -> ContentModel:
+        """Stochastic gradient steps for the node potentials, in a fixed order; smoothed counts for the edges."""
+        pairs, states, seen = [[1.0, 1.0], [1.0, 1.0]], [1.0, 1.0], []
         for page in pages:
             of = features(page)
             for node in page.walk():
+                if node.kind == "text" and not node.text.strip():
+                    continue  # space belongs to what stands around it
+                seen.append((of[id(node)], node.label))
                 states[node.label] += 1
-                for f in of[id(node)]:
-                    seen[f][node.label] += 1
                 for child in node.children:
                     pairs[node.label][child.label] += 1
-        prior = math.log(states[1] / states[0])
-        self.node = {f: (math.log(b / a) - prior) for f, (a, b) in seen.items()}
-        self.node[""] = prior
+        rng, weights = random.Random(1), self.node
+        for step in range(rounds):
+            rng.shuffle(seen)
+            for of, label in seen:
+                miss = (rate / (1 + step)) * (label - _logistic(self.own(of)))
+                for f in ("", *of):
+                    w = weights.get(f, 0.0)
+                    weights[f] = w + miss - rate * decay * w
         for p in (0, 1):
             total = sum(pairs[p])
             for c in (0, 1):
@@ -257,7 +306,7 @@ class ContentModel:
     def infer(self, root: Node) -> None:
         """Sum-product: messages up from the leaves, then down from the root. Works on log-odds, iteratively."""
         order = list(root.walk())
-        own = {k: self.node.get("", 0.0) + sum(self.node.get(f, 0.0) for f in of) / 2 for k, of in features(root).items()}
+        own = {k: self.own(of) for k, of in features(root).items()}
         up: dict[int, float] = {}
         belief: dict[int, float] = {}
         for n in reversed(order):
@@ -290,40 +339,71 @@ def _logistic(x: float) -> float:
     return 1 / (1 + math.exp(-max(-50.0, min(50.0, x))))
 
 
-NOISE = {"comment", "script", "nav", "template", "image", "reference", "layout", "rule", "table"}
+# Words of menus and footers, for the labelled pages.
+MENU = "Home About Search Login Contact Imprint Terms Privacy Help News Archive Sitemap Register Subscribe Download Share Print Next Previous Top".split()
+#: Kinds that carry no content wherever they stand.
+EMPTY = {"comment", "image", "reference", "rule", "script"}
 
 
 def labelled_pages(texts: list[str], seed: int = 1) -> list[Node]:
-    """Pages whose labels are known by construction: clean texts rendered with the constructs of the four markups, and
-    boilerplate (menus, scripts, boxes, pointers, layout commands) put between them."""
+    """Pages whose labels are known by construction: lines of clean texts rendered with the constructs of the markups,
+    and between them boilerplate in the same constructs (menus as lists, paragraphs or links, boxes, pointers, layout
+    commands). What was rendered from a text is content, whatever its kind; the rest is not."""
     rng = random.Random(seed)
-    wraps = [lambda s: f"<p>{s}</p>", lambda s: f'<div class="x">{s}</div>', lambda s: f"\\emph{{{s}}}", lambda s: f"'''{s}'''", lambda s: f"**{s}**",
-             lambda s: f"<h2>{s}</h2>", lambda s: f"\\section{{{s}}}", lambda s: f"== {s} ==", lambda s: f"* {s}", lambda s: f"<ul><li>{s}</li></ul>",
-             lambda s: f"\\begin{{itemize}}\n\\item {s}\n\\end{{itemize}}", lambda s: f"```\n{s}\n```", lambda s: f"<pre><code>{s}</code></pre>", lambda s: f'<a href="https://x.example/">{s}</a>',
-             lambda s: f"[{s}](https://x.example/a)", lambda s: f"\\footnote{{{s}}}", lambda s: f"> {s}", lambda s: f"<sup>{s}</sup>" if len(s) < 40 else s]
-    noises = ["<!-- hidden -->", "<nav>Home About Search Login</nav>", "<script>var a = 1;</script>", "<style>p {color: red}</style>", "{{Infobox x|year=2001|bound=3}}",
-              "![plot](fig.png)", '<ref name="r1"/>', "\\cite{key2001}", "\\ref{sec:a}", "\\vspace{2mm}", "\\noindent", "\\hspace{1em}", "<hr/>", "----", "<footer>Contact Imprint Terms</footer>"]
+    short = lambda s: " ".join(s.split(" ")[: rng.randint(1, 6)])
+    keeps = [lambda s: f"<p>{s}</p>", lambda s: f"<p>{amid(s)}</p>", lambda s: f"<ul><li>{short(s)}</li><li>{amid(s)}</li></ul>", lambda s: f'<div class="x">{s}</div>', lambda s: f"\\emph{{{s}}}", lambda s: f"'''{s}'''", lambda s: f"**{s}**",
+             lambda s: f"<h2>{short(s)}</h2>", lambda s: f"\\section{{{short(s)}}}", lambda s: f"== {short(s)} ==", lambda s: f"* {s}", lambda s: f"<ul><li>{s}</li><li>{short(s)}</li></ul>",
+             lambda s: f"\\begin{{itemize}}\n\\item {s}\n\\item {short(s)}\n\\end{{itemize}}", lambda s: f"```\n{s}\n```", lambda s: f"<pre><code>{s}</code></pre>",
+             lambda s: f'{s} <a href="https://x.example/">{short(s)}</a>', lambda s: f"{short(s)} [{short(s)}](https://x.example/a) {s}", lambda s: f"{s} [[{short(s)}]]", lambda s: f"{s}\\footnote{{{s[:80]}}}", lambda s: f"> {s}",
+             lambda s: f"\\marked{{{s}}}", lambda s: f"{{{{quote|{s}}}}}", lambda s: f"| {s[:40]} | {s[-40:]} |", lambda s: f"$x_1$ {s} $$y$$", lambda s: f"{s}<sup>2</sup> &amp; <em>{s[:25]}</em>",
+             lambda s: f"\\begin{{equation}}a+b \\alpha\\end{{equation}} {s}", lambda s: f"a line\\\\ {s}<br/>"]
+    inner = [lambda s: f"\\emph{{{s}}}", lambda s: f"<b>{s}</b>", lambda s: f"[{s}](https://x.example/b)", lambda s: f"[[{s}]]", lambda s: f"[[{s.title()} (term)|{s.title()}]]", lambda s: f'<a href="/x">{s.title()}</a>', lambda s: f"`{s}`", lambda s: f"\\textbf{{{s}}}", lambda s: f"<span>{s}</span>",
+             lambda s: f"''{s}''", lambda s: f"{s}\\cite{{k}}", lambda s: f"{s} &ndash;", lambda s: f"{s}~\\ref{{a}}", lambda s: f"$a_{{{rng.randint(1, 99)}}}$ {s}"]
+
+    def amid(s: str) -> str:
+        """Markup inside a sentence, so that what stands before and behind may be short."""
+        w = s.split(" ")
+        a = rng.randint(0, min(4, len(w) - 1))
+        b = a + rng.randint(1, 3)
+        return " ".join([*w[:a], rng.choice(inner)(" ".join(w[a:b])), *w[b:]])
+
+    def twice(s: str) -> str:
+        w = s.split(" ")
+        return " ".join(amid(" ".join(part)) for part in (w[: len(w) // 2], w[len(w) // 2 :]) if part)
+
+    keeps += [amid] * 6 + [twice] * 3 + [lambda s: f"<p>{twice(s)}</p>"] * 3
+    word = lambda: rng.choice(MENU)
+    links = lambda sep, n: sep.join(f'<a href="/{k}">{word()}</a>' for k in range(n))
+    drops = [lambda: "<!-- hidden -->", lambda: f"<nav>{word()} {word()} {word()}</nav>", lambda: "<script>var a = 1;</script>", lambda: "<style>p {color: red}</style>",
+             lambda: "{{Infobox x|year=2001|bound=3}}", lambda: f"{{{{Infobox {word()}\n| name = {word()} {word()}\n| bound = {rng.randint(1, 99)}.{rng.randint(1, 999)}\n}}}}", lambda: "{{reflist}}", lambda: "![plot](fig.png)", lambda: '<ref name="r1"/>', lambda: "\\cite{key2001}", lambda: "\\ref{sec:a}", lambda: "\\vspace{2mm}",
+             lambda: "\\noindent", lambda: "\\hspace{1em}", lambda: "<hr/>", lambda: "----", lambda: f"<footer>{word()} {word()}</footer>", lambda: f"<div>{links(' | ', rng.randint(2, 6))}</div>",
+             lambda: f"<ul>{''.join(f'<li><a href="/{k}">{word()}</a></li>' for k in range(rng.randint(3, 8)))}</ul>", lambda: f"<p>{links(' ', rng.randint(2, 5))}</p>",
+             lambda: "|---|---|", lambda: "\\setlength{\\parindent}{0pt}", lambda: "\\label{eq:1}"]
     pages = []
     for text in texts:
-        parts = []
+        root = Node("root", label=1)
         for line in text.split("\n"):
             s = line.removeprefix("## ").removeprefix("- ").strip()
             if not s or TOKEN.search(s):
                 continue
-            parts.append(rng.choice(wraps)(s) if rng.random() < 0.6 else s)
+            _grow(root, rng.choice(keeps)(s) if rng.random() < 0.6 else s, 1)
             if rng.random() < 0.5:
-                parts.append(rng.choice(noises))
-        page = parse("\n".join(parts))
-        _label(page, False)
-        pages.append(page)
+                _grow(root, rng.choice(drops)(), 0)
+        pages.append(root)
     return pages
 
 
-def _label(node: Node, dropped: bool) -> None:
-    dropped = dropped or node.kind in NOISE
-    node.label = 0 if dropped else 1
+def _grow(root: Node, markup: str, label: int) -> None:
+    for node in parse(markup).children:
+        _label(node, label)
+        root.children.append(node)
+    root.children.append(Node("text", "\n", label=1))
+
+
+def _label(node: Node, label: int) -> None:
+    node.label = 0 if node.kind in EMPTY else label
     for child in node.children:
-        _label(child, dropped)
+        _label(child, node.label)
 
 
 BLOCKS = {"heading", "item", "list", "paragraph", "pre", "display"}

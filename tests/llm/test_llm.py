@@ -296,7 +296,10 @@ UNMARKED = ["## H\ntext", "- item", "a < b and c > d", "R&D notes", "5 * 3 * 2 t
 
 @pytest.fixture(scope="module")
 def model():
-    return markup.ContentModel().fit(markup.labelled_pages(["A clean line stands here, and it ends well.\n- an item of the list\n## A heading\nMore text follows in this line."] * 40))
+    parts = ["A clean line stands here", "One claim of the paper holds", "The bound 4.5 is met", "Title and heading agree", "More text follows", "We see no limit", "- an item of the list", "## A heading", "Data were taken"]
+    rng = random.Random(2)
+    lines = [f"{rng.choice(parts)}{rng.choice(['', ' in all cases', ' for some time', ' when it is cold'])}{rng.choice(['.', '.', '!', ''])}" for _ in range(400)]
+    return markup.ContentModel().fit(markup.labelled_pages(["\n".join(lines[i : i + 4]) for i in range(0, 400, 4)]))
 
 
 @pytest.mark.parametrize("text", MARKED)
@@ -316,6 +319,26 @@ def test_cleaning(model):
     assert markup.clean("## Own\n- kept", model) == "## Own\n- kept"
 
 
+def test_context_decides(model):
+    """The same list is content or a menu by what it holds, and what one item cannot tell, its neighbours do."""
+    menu = "<ul>" + "".join(f'<li><a href="/x">{w}</a></li>' for w in ("Home", "Search", "Help", "Our work", "Login")) + "</ul>"
+    found = "<ul><li>The bound is met in all cases.</li><li>Data were taken for some time</li></ul>"
+    assert markup.clean(menu + found, model) == "- The bound is met in all cases.\n- Data were taken for some time"
+    assert markup.clean("\\marked{One claim of the paper holds.}\\vspace{2mm}", model) == "One claim of the paper holds."
+    alone = markup.ContentModel()
+    alone.node = model.node  # no potentials of edges: no messages
+    root, single = markup.parse(menu), markup.parse(menu)
+    model.infer(root)
+    alone.infer(single)
+    assert [n.marginal for n in root.walk()] != [n.marginal for n in single.walk()]
+
+
+def test_tables_become_rows(model):
+    assert markup.clean("The rows are:\n| one case | 4.5 |\n|---|---|\n| two cases | 7.5 |\nAnd so on.", model).count(" | ") == 2
+    wiki = markup.clean("We see this.\n{| class=x\n|-\n| one case || '''4.5'''\n|-\n| two cases || 7.5\n|}\nData were taken.", model)
+    assert "one case | 4.5" in wiki and "{|" not in wiki and "''" not in wiki
+
+
 def test_messages_equal_enumeration(model):
     """Sum-product against the sum over all states of a small tree."""
     import itertools
@@ -324,7 +347,7 @@ def test_messages_equal_enumeration(model):
     model.infer(root)
     nodes = list(root.walk())
     of = markup.features(root)
-    own = [model.node[""] + sum(model.node.get(f, 0) for f in of[id(n)]) / 2 for n in nodes]
+    own = [model.own(of[id(n)]) for n in nodes]
     place = {id(n): i for i, n in enumerate(nodes)}
     weight = np.zeros((len(nodes), 2))
     for states in itertools.product((0, 1), repeat=len(nodes)):
