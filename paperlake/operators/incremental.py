@@ -9,6 +9,7 @@ Two cooperating parts:
   sequence column, where ``low`` is the last committed watermark and ``high`` is fixed before any work starts. Output
   and watermark become visible together, by one atomic create of the next commit file. A run that dies leaves only files
   that no commit names; the next run repeats the same lower bound, so nothing is skipped and nothing appears twice.
+* ``run_pending`` – both together: the selection is the input of a run, and its ledger lines are part of the commit.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperlake.session import fs
+from paperlake.session import fs, materialize
 
 #: A tar can hold a third of all papers, so the one-row-per-tar side is repeated this often and the papers are spread.
 SALTS = 16
@@ -220,3 +221,42 @@ def run_incremental(
     record = {"n": len(done), "low": low, "high": int(high), "folder": folder}
     log.commit(record)
     return record
+
+
+def run_pending(
+    entries: DataFrame,
+    ledger: DataFrame,
+    log: CommitLog,
+    transform: Callable[[DataFrame], DataFrame] = lambda d: d,
+    high: int | None = None,
+    before_commit: Callable[[], None] | None = None,
+) -> dict | None:
+    """One run over the papers whose newest content no run has logged: their newest deliveries go through ``transform``.
+
+    The commit sequence is the number of the run; its upper limit ``high`` (of ``entry_seq``, default: the current
+    maximum) is fixed before the first record is read, and what earlier commits logged counts with the given ledger.
+    Results, the papers' ledger lines and the watermark become visible by one commit, so a run that dies leaves nothing,
+    and of overlapping runs only the first commits. Returns the commit, or None if there is no delivery at all.
+    """
+    spark, done = entries.sparkSession, log.commits()
+    top = entries.agg(F.max("entry_seq")).first()[0]
+    high = top if high is None else (None if top is None else min(high, top))
+    if high is None:
+        return None
+    earlier = log.folders("ledger")
+    known = ledger.select("stem", "arxiv_id", "recorded_at")
+    known = known.unionByName(spark.read.option("basePath", f"{log.root}/ledger").parquet(*earlier).drop("_run")) if earlier else known
+    newest = (
+        entries.where(F.col("entry_seq") <= F.lit(high)).groupBy("source_tar", "arxiv_id").agg(F.max(F.struct("received_at", "entry_seq")).alias("_newest"))
+        .select("source_tar", "arxiv_id", "_newest.received_at", "_newest.entry_seq")
+    )
+    chosen = materialize(pending_papers(entries, known, high).join(newest, ["source_tar", "arxiv_id"]), "pending")
+    folder = new_folder()
+    transform(entries.join(chosen.select("entry_seq"), "entry_seq")).write.parquet(f"{log.root}/data/{folder}")
+    lines = chosen.select(F.regexp_replace("source_tar", r"\.tar$", "").alias("stem"), "arxiv_id", F.col("received_at").alias("recorded_at"))
+    lines.write.parquet(f"{log.root}/ledger/{folder}")
+    if before_commit:
+        before_commit()
+    record = {"n": len(done), "low": done[-1]["high"] if done else None, "high": int(high), "folder": folder, "parts": ["data", "ledger"]}
+    log.commit(record)
+    return record

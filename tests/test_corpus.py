@@ -308,3 +308,30 @@ def test_deadline_and_death(monkeypatch):
     assert text._isolated(files, 5.0)[:3] == ("error", text.CRASH, 1)
     monkeypatch.undo()
     assert text._isolated([{"name": "m.tex", "content": "text"}], 5.0)[:4] == ("ok", None, 1, "text")
+
+
+def test_pending_runs_commit_once(spark):
+    """Selection, output and ledger lines in one commit: a killed run leaves nothing, a repeated one takes everything, a
+    revised paper comes again, a second run finds nothing."""
+    from datetime import datetime
+
+    at = lambda h: datetime(2024, 1, 1, h)
+    files = lambda t: [("m.tex", t)]
+    rows = [(1, "a.tar", "1", files("x"), at(1)), (2, "a.tar", "2", files("x"), at(1)), (3, "a.tar", "1", files("y"), at(3)), (4, "a.tar", "unknown", None, at(1)), (5, "a.tar", "3", None, None)]
+    entries = spark.createDataFrame(rows, "entry_seq bigint, source_tar string, arxiv_id string, tex_files array<struct<name:string,content:string>>, received_at timestamp")
+    ledger = spark.createDataFrame([], "stem string, arxiv_id string, recorded_at timestamp, run_id int")
+    log = inc.CommitLog(spark, scratch(spark, "pending-runs"))
+    narrow = lambda d: d.select("entry_seq")
+
+    def die():
+        raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        inc.run_pending(entries, ledger, log, narrow, 2, die)
+    assert log.read() is None
+    assert inc.run_pending(entries, ledger, log, narrow, 2)["high"] == 2
+    with pytest.raises(RuntimeError):
+        inc.run_pending(entries, ledger, log, narrow, 4, lambda: inc.run_pending(entries, ledger, log, narrow, 4))
+    inc.run_pending(entries, ledger, log, narrow, 4)
+    assert sorted(r[0] for r in log.read().collect()) == [1, 2, 3]
+    assert inc.run_pending(entries.limit(0), ledger, log, narrow) is None
