@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperlake.llm import mixing as op
-from paperlake.session import table
+from paperlake.session import spread, table
 
 
 def _planned(spark: SparkSession, sf_dir: str, temperature: str | None = None) -> tuple:
-    sizes = op.sized(table(spark, sf_dir, "documents"))
+    sizes = op.sized(spread(table(spark, sf_dir, "documents"), "doc_id"), spark.conf.get("spark.paperlake.tokenizer", op.TOKENIZER))
     chosen = op.plan(sizes, op.read_targets(table(spark, sf_dir, "mix_targets")), temperature=temperature)
     return op.mix(sizes, chosen), chosen
 

@@ -91,9 +91,15 @@ class Summary:
         return int(self.v[i]), int(off[i])
 
 
+#: A partition's own pieces are pruned to so many times the tuples of a leaf. Up to 16 doublings of them add an eighth of
+#: what pruning the leaf does.
+FINE = 64
+
+
 def tuples_for(epsilon: float, levels: int) -> int:
-    """Tuples to keep so that pruning once at the leaves and once per level stays within ``epsilon``."""
-    return math.ceil((levels + 1) / (2 * epsilon)) + 2
+    """Tuples to keep so that pruning once at the leaves and once per level stays within ``epsilon``, the pieces of a
+    leaf included."""
+    return math.ceil((levels + 1.25) / (2 * epsilon)) + 2
 
 
 def levels_for(partitions: int) -> int:
@@ -101,11 +107,12 @@ def levels_for(partitions: int) -> int:
 
 
 class _Folder:
-    """Collects values of one group and folds them into a summary when the buffer is full."""
+    """Collects values of one group; a full buffer becomes a piece, and two pieces of one size become one of the next, so
+    that the work grows with the rows times the logarithm of their number."""
 
     def __init__(self, tuples: int):
         self.tuples, self.parts, self.held = tuples, [], 0
-        self.summaries: list[Summary] = []
+        self.pieces: list[tuple[int, Summary]] = []
         self.nulls = self.sentinels = 0
 
     def add(self, values: np.ndarray, nulls: int, sentinels: int) -> None:
@@ -118,17 +125,21 @@ class _Folder:
             self.fold()
 
     def fold(self) -> None:
-        # merging exact pieces before pruning keeps the leaf at one pruning: pieces are kept at four times the tuples
-        if self.parts:
-            self.summaries.append(Summary.exact(np.concatenate(self.parts)).prune(4 * self.tuples))
-            self.parts, self.held = [], 0
-        while len(self.summaries) > 1:
-            self.summaries.append(self.summaries.pop().merge(self.summaries.pop()).prune(4 * self.tuples) if len(self.summaries) > 8 else self.summaries.pop().merge(self.summaries.pop()))
+        if not self.parts:
+            return
+        size, piece = 0, Summary.exact(np.concatenate(self.parts)).prune(FINE * self.tuples)
+        self.parts, self.held = [], 0
+        while self.pieces and self.pieces[-1][0] == size:
+            piece = self.pieces.pop()[1].merge(piece).prune(FINE * self.tuples)
+            size += 1
+        self.pieces.append((size, piece))
 
     def finish(self) -> Summary:
         self.fold()
-        empty = Summary.exact(np.zeros(0, dtype=np.int64))
-        return (self.summaries[0] if self.summaries else empty).prune(self.tuples)
+        whole = Summary.exact(np.zeros(0, dtype=np.int64))
+        for _, piece in reversed(self.pieces):
+            whole = piece.merge(whole)
+        return whole.prune(self.tuples)
 
 
 def leaf_summaries(rows: DataFrame, groups: dict[str, Column], metrics: list[str], tuples: int, valid: tuple[int, int]) -> DataFrame:

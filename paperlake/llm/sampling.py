@@ -21,8 +21,9 @@ def bounded_sample(df: DataFrame, key: str, rows: int) -> pd.DataFrame:
     if total == 0:
         return df.limit(0).toPandas()
     share = min(1.0, 1.2 * rows / total)
-    chosen = df.where(F.pmod(F.xxhash64(F.lit(17), F.col(key)), F.lit(HASH_BUCKETS)) < F.lit(int(share * HASH_BUCKETS) + 1))
-    return chosen.limit(2 * rows).toPandas()
+    place = F.xxhash64(F.lit(17), F.col(key))
+    chosen = df.where(F.pmod(place, F.lit(HASH_BUCKETS)) < F.lit(int(share * HASH_BUCKETS) + 1))
+    return chosen.orderBy(place, key).limit(2 * rows).toPandas()
 
 
 #: Names and codes met in language labels, by ISO 639-1 code.

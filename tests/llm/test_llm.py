@@ -1,5 +1,6 @@
 """The text operators: vectors, brute force, round trips, held-out accuracy and edge cases."""
 
+import math
 import random
 import re
 
@@ -178,6 +179,26 @@ def test_error_stays_in_bounds_over_many_merges():
     assert total.error <= 0.01 * total.n
 
 
+def test_long_partitions_stay_bounded(monkeypatch):
+    """Many buffers of one group: few pieces are held, and the tracked error bounds the true one."""
+    monkeypatch.setattr(quantiles, "BUFFER", 100)
+    rng = np.random.default_rng(5)
+    values = rng.integers(0, 10_000, 30_000)
+    folder = quantiles._Folder(quantiles.tuples_for(0.01, 1))
+    monkeypatch.setattr(quantiles, "FINE", 1)
+    for at in range(0, len(values), 50):
+        folder.add(values[at : at + 50], 0, 0)
+        assert len(folder.pieces) <= 10
+    summary = folder.finish()
+    ordered = np.sort(values)
+    assert summary.n == len(values) and len(summary.v) <= folder.tuples + 1
+    for q in (0.1, 0.5, 0.9):
+        value, error = summary.value(q)
+        rank = math.ceil(q * len(values))
+        low, high = np.searchsorted(ordered, value, "left") + 1, np.searchsorted(ordered, value, "right")
+        assert max(0, low - rank, rank - high) <= error
+
+
 def test_percentiles(spark, rows):
     data = [("ok", i) for i in range(1, 101)] + [("ok", -1), ("ok", 2**63 - 1), ("ok", None), (None, 7), ("none", None)]
     df = spark.createDataFrame(data, "status string, t bigint").withColumn("key", F.lit(1)).withColumn("n", F.lit("clash"))
