@@ -56,6 +56,8 @@ TABLE = _width_table() | {ord(k): v for k, v in LIGATURES.items()} | {ord(c): "
 NEEDS_TABLE = re.compile("[" + "".join(map(re.escape, map(chr, TABLE))) + "]")
 COMBINING = "̀-ͯ"
 FOREIGN = re.compile(rf"[^\W\d_][\w{COMBINING}]*[Ͱ-ϿЀ-ԯ][\w{COMBINING}]*|[Ͱ-ϿЀ-ԯ][\w{COMBINING}]*")
+#: Every match of FOREIGN holds one of these.
+OTHER_ALPHABET = re.compile("[Ͱ-ϿЀ-ԯ]")
 WORD = re.compile(rf"[^\W\d_][\w{COMBINING}]*")
 STRICT_CYRILLIC = re.compile("[" + "".join(c for c in map(chr, range(0x400, 0x530)) if c not in CYRILLIC and unicodedata.normalize("NFD", c)[0] not in CYRILLIC) + "]")
 STRICT_GREEK = re.compile("[" + "".join(c for c in map(chr, range(0x370, 0x400)) if c.isalpha() and c not in GREEK and unicodedata.normalize("NFD", c)[0] not in GREEK) + "]")
@@ -167,7 +169,7 @@ class Canonicalizer:
         if NEEDS_TABLE.search(text):
             text = text.translate(TABLE)
         text = unicodedata.normalize("NFC", text)
-        if not FOREIGN.search(text):
+        if not OTHER_ALPHABET.search(text):
             return text
         context = text_script(text)
         words = FOREIGN if context == "latin" else WORD

@@ -94,10 +94,13 @@ ITEM = re.compile(r"\s*[-*•][ \t]")
 MARKS = "#-*•"
 
 
-QUICK_BEFORE = re.compile(rf"[{LOWER}]{{7}}[.!?]")
 QUICK_AFTER = re.compile(rf"\s+[{UPPER}][{LOWER}’' ]")
 
 
+#: Words of the tables that can stand before a full stop inside a sentence.
+ABBREVIATED = {w for kind in (TITLES, NUMBERED, POINTING) for words in kind.values() for w in words.split("|")}
+
+
 class Rules:
     """The cascade of one kind of paragraph, compiled: neighbouring rules stay in order, the first match decides."""
 
@@ -107,8 +110,10 @@ class Rules:
         self.rules = [(d, re.compile(f"(?:{b})\\Z") if b else None, re.compile(a) if a else None) for table in tables for d, b, a in table]
 
     def decide(self, text: str, at: int) -> bool:
-        if QUICK_AFTER.match(text, at) and QUICK_BEFORE.match(text, at - 8):
-            return BREAK  # what the long-word rule says; no rule before it in any cascade can match here (tested)
+        if QUICK_AFTER.match(text, at) and text[at - 1] in ".!?":
+            word = text[text.rfind(" ", max(0, at - self.REACH), at - 1) + 1 : at - 1]
+            if len(word) > 2 and word.isalpha() and word.islower() and word not in ABBREVIATED:
+                return BREAK  # a whole small word that no table knows before a new sentence: every cascade says so (tested)
         before = text[max(0, at - self.REACH) : at]
         for decision, b, a in self.rules:
             if (a is None or a.match(text, at)) and (b is None or b.search(before)):

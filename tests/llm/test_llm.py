@@ -535,7 +535,7 @@ def test_quick_path_agrees_with_the_tables():
     slow = {}
     for name, tables in sentences.TABLES.items():
         slow[name] = [(d, re.compile(f"(?:{b})\\Z"), re.compile(a)) for table in tables for d, b, a in table]
-    for before in ("a computed", "Wertebereich", "«expression", "(результат", "am 3 eigenwert"):
+    for before in ("a computed", "Wertebereich", "«expression", "(результат", "am 3 eigenwert", "the end", "see fig", "na prof", "um ad es", "x dott", "ein der", "на рис", "vgl", "el núm", "is it bzw"):
         for mark in ".!?":
             for after in (" The end", "\nÜber", "  Das ", " В нём"):
                 text = before + mark + after
