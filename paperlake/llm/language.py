@@ -4,8 +4,7 @@ Texts are cut into sentences, sentences into fixed-length byte windows. A window
 filters of several widths, max-pooled and classified by softmax. The network is trained here, in numpy, on labelled
 sentences, some of them garbled on purpose so that a wrong decoding does not hide the language; sentences that the first
 pass contradicts are taken for mislabelled and left out of the second. For prediction embedding and filters are
-multiplied out into one table per filter offset, in 16-bit integers, so that a convolution is a table look-up and an
-addition. Sentence scores are smoothed by a chain with a price for every change of language; runs of one language are the
+multiplied out into tables by pairs of bytes, in 16-bit integers, so that a convolution is one or two table look-ups. Sentence scores are smoothed by a chain with a price for every change of language; runs of one language are the
 segments.
 """
 

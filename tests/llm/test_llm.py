@@ -276,6 +276,17 @@ def test_statistics(results):
     assert got[10]["lang"] == "de" and got[3]["lang"] == "und"
 
 
+def test_counts_equal_the_patterns(spark):
+    """The pass over marks counts what the patterns count."""
+    rng = random.Random(3)
+    parts = ["a", "ab", "de", "The", "и", "é", "é", "​", ".", "!", "?", "…", "。", "）", ")", "’", "*", " ", " ", "\n", "\t", "1", "²", "_", "/", "ª", "一", "是", "!?"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    t = F.col("text")
+    want = df.select("text", *[quality.count_of(p, t) for p in (quality.SENTENCE_END, quality.CLOSED_END, quality.COMMON)]).collect()
+    assert [r[0] for r in want if quality.sentence_counts(r[0]) != tuple(r[1:])] == []
+
+
 def test_exact_ranks(spark):
     data = [(i, "x" * (i % 7) + " 1" * (i % 5), "en" if i % 3 else None) for i in range(300)] + [(300, None, None), (301, "", "en")]
     stats = quality.text_statistics(spark.createDataFrame(data, "result_id bigint, text string, lang_label string"))
