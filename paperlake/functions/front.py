@@ -61,10 +61,11 @@ def metadata(preamble: str, body: str) -> list[str]:
 NOTES = [command("thanks"), command("footnote"), re.compile(r"\\footnotetext"), command("funding")]
 
 
-def notes(preamble: str, body: str) -> list[str]:
-    """Footnote-like texts of the preamble as it stands, comments included, but for those inside title and author."""
+def notes(preamble: str, body: str | None = None) -> list[str]:
+    """Footnote-like texts of the preamble as it stands, comments included, but for those inside a title and author that
+    are kept (``body`` does not have them); without a body all of them."""
     taken = []
-    for name in ("title", "author"):
+    for name in ("title", "author") if body is not None else ():
         if not _in_body(body, name):
             taken += [(start, part.end) for start, _, part in _calls(preamble, re.compile(rf"\\{name}(?![A-Za-z])\*?"), True)]
     out = []

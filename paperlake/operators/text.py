@@ -37,6 +37,7 @@ OPERATORS: dict[str, Callable[[str], str]] = {
     "cleanup": tidy.cleanup,
     "body": lambda s: front.split_document(s)[1],
     "preamble": lambda s: "\n".join(front.split_document(s)[0]),
+    "extras": lambda s: "\n".join(front.notes(s)),
 }
 
 

@@ -107,6 +107,7 @@ CATALOGUE = [
     ("tex_whitespace_native", NATION, "collapse_whitespace", f"concat('  ', n_name, chr(8201), chr(9), 'b  ', {NL}, {NL}, {NL}, {NL}, ' c')", f"n_name || ' b' || {NL} || {NL} || 'c'"),
     ("tex_body", CUSTOMER, body, r"concat(r'\title{x}\begin{document}', c_custkey, chr(10), r'% \end{document}', chr(10), r'y\end{document}z')", rf"c_custkey || {NL} || '% \end{{document}}' || {NL} || 'y'"),
     ("tex_preamble", CUSTOMER, preamble, r"concat(r'\title{T', c_custkey, r'}\author[a]{N}\address[a]{X', c_nationkey, r'}%\email{no}', chr(10), r'\email{me}\thanks{t}\begin{document}b\end{document}')", "'# T' || c_custkey || '|N¹|¹ X' || c_nationkey || '|me|t'"),
+    ("tex_extras", CUSTOMER, lambda s: "|".join(front.notes(s)), r"concat(r'\title{T\thanks{a}}\thanks{t', c_custkey, r'}\footnote{n}\funding{', c_nationkey, '}')", "'a|t' || c_custkey || '|n|' || c_nationkey"),
     ("tex_whole_paper", NATION, whole, r"concat(r'\documentclass{a}\title{T}\newcommand{\who}{', n_name, r'}\begin{document}\section{S}\label{sec:s}\who{} is $x$, see \ref{sec:s}.\end{document}')", f"'# T' || {NL} || {NL} || '## 1. S' || {NL} || n_name || ' is $x$, see 1.'"),
     ("tex_operator_names", PART, style.convert_formatting, r"concat(r'\operatorname*{', p_size, r'} \operatorname{x}')", "p_size || ' x'"),
     ("tex_leaked_definitions", PART, tidy.cleanup, r"concat(p_name, r' \newcommand{\x}[1]{a{b}c}\def\y{', p_size, r'}z')", "p_name || ' z'"),
