@@ -9,6 +9,7 @@ brings it back.
 
 from __future__ import annotations
 
+import codecs
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -36,7 +37,7 @@ CHAIN_COST = 2
 def byte_table(encoding: str) -> dict[int, int]:
     """Code point -> byte of a single-byte encoding; bytes it leaves undefined stand for the C1 control of their value,
     and C1 controls are accepted for their byte everywhere (the two conventions get mixed in practice)."""
-    table = {c: c for c in range(0x80, 0xA0)}
+    table = {c: c for c in range(0xA0)}
     for b in range(0x80, 0x100):
         try:
             table[ord(bytes([b]).decode(encoding))] = b
@@ -52,17 +53,10 @@ def to_bytes(text: str, encoding: str) -> bytes | None:
             return text.encode(encoding)
         except UnicodeEncodeError:
             return None
-    table = byte_table(encoding)
-    out = bytearray()
-    for c in text:
-        code = ord(c)
-        if code < 0x80:
-            out.append(code)
-        elif (b := table.get(code)) is None:
-            return None
-        else:
-            out.append(b)
-    return bytes(out)
+    try:
+        return codecs.charmap_encode(text, "strict", byte_table(encoding))[0]
+    except UnicodeEncodeError:
+        return None
 
 
 def from_bytes(raw: bytes, encoding: str) -> str | None:
@@ -112,11 +106,17 @@ SUSPECT = re.compile(
 )
 
 
+#: Of texts in these characters only a run of four beyond ASCII is suspect: every other part of SUSPECT asks for one that
+#: is not here.
+HARMLESS = frozenset(map(chr, range(0x80))) | frozenset("àáâãäåæçèéêëìíîïñòóôõöøùúûüÿßœšž‘’“”–—…«»\xa0\u2009\u202f")
+HIGH_LATIN = re.compile(r"[\xa1-˿]{4}")
+
+
 def _misread_patterns() -> tuple[re.Pattern, re.Pattern]:
     """A lead byte followed by continuation bytes, as each single-byte encoding shows them; and a quick test for it."""
     parts, first, second = [], set(), set()
     for encoding in SINGLE_BYTE:
-        show = {b: chr(c) for c, b in byte_table(encoding).items() if not 0x80 <= c < 0xA0} | {}
+        show = {b: chr(c) for c, b in byte_table(encoding).items() if c >= 0xA0}
         every = lambda lo, hi: "".join(re.escape(show[b]) for b in range(lo, hi) if b in show)
         rest = every(0x80, 0xC0) + "\x80-\x9f"
         two = every(0xC2, 0xC6) + every(0xCE, 0xD2)  # Latin, Greek, Cyrillic
@@ -212,6 +212,8 @@ class Decoder:
 
     def partial_reading(self, line: str) -> str | None:
         """Misread pairs inside runs that also hold correct signs: the pairs alone are put right."""
+        if not misread(line):
+            return None
         changed = False
 
         def put_right(m: re.Match) -> str:
@@ -297,7 +299,8 @@ class Decoder:
         return False
 
     def suspect(self, text: str) -> bool:
-        return bool(SUSPECT.search(text)) or misread(text) or self.wide_misread(text)
+        sign = HIGH_LATIN if HARMLESS.issuperset(text) else SUSPECT
+        return bool(sign.search(text)) or misread(text) or self.wide_misread(text)
 
     def judge(self, text: str | None) -> Verdict:
         """Null and empty texts are not garbled."""
