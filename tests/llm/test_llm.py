@@ -144,6 +144,49 @@ def test_vocabulary_selects_the_spelling():
     assert known("The CО level") == "The CO level"
 
 
+def test_vocabulary_counts_every_text(spark):
+    """12 000 texts, and one far longer than a sample text: no row and no length is left out of the counts."""
+    texts = spark.range(12_000).select(F.col("id").alias("result_id"), F.when(F.col("id") % 6 == 0, "Уровень СО растёт").otherwise("Уровень CO растёт").alias("text"))
+    assert canonical.vocabulary(texts) == {("cyrillic", "CO"): 10_000}
+    long = spark.createDataFrame([(1, "Уровень pH растёт. " * 2_000), (2, "Уровень рН растёт."), (3, None), (4, "")], "result_id bigint, text string")
+    known = canonical.vocabulary(long)
+    assert known == {("cyrillic", "pH"): 2_000} and canonical.vocabulary(long.limit(0)) == {}
+    assert {r["canonical"] for r in canonical.canonical_texts(long.where("result_id = 2"), known).collect()} == {"Уровень pH растёт."}
+
+
+def test_vocabulary_decides_as_all_words_do(spark, monkeypatch):
+    """The few words that reach the driver give every text the form that the counts of all words give it."""
+    rng = random.Random(3)
+    words = ["CO", "СО", "CО", "pH", "рН", "x", "х", "The", "é", "е́", "матрица", "мaтpицa", "город", "ΑΒ", "AB", "λόγος", "λoγoς", "σÅ", "surface", "ѕurfасе", "10²", "µm", "ﬁne"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 12))) for _ in range(400)] + ["", None, "plain", "once Ещё РОТ", "\u2126 όλο"]
+    counts = {}
+    for text in filter(None, texts):
+        text = canonical.unicodedata.normalize("NFC", text.translate(canonical.TABLE))
+        for w in canonical.WORD.findall(text):
+            key = canonical.text_script(text), w
+            counts[key] = counts.get(key, 0) + 1
+    pure = {(c, w): n for (c, w), n in counts.items() if n > 1 and any(canonical.to_script(w, s) == w for s in ("latin", *canonical.LATIN_TO))}
+    known = canonical.vocabulary(spark.createDataFrame(list(enumerate(texts)), "result_id bigint, text string").repartition(3))
+    assert known.items() <= pure.items() and 0 < len(known) < len(pure) / 2
+    few, every, table = (canonical.Canonicalizer(c) for c in (known, pure, {}))
+    assert [few(t) for t in texts] == [every(t) for t in texts] != [table(t) for t in texts]
+
+    def counted():
+        parts = list(canonical._word_counts(iter([canonical.pd.DataFrame({"text": list(filter(None, texts))})])))
+        return len(parts), canonical.pd.concat(parts).groupby(["context", "plain", "word"])["n"].sum().to_dict()
+
+    (parts, at_once), _ = counted(), monkeypatch.setattr(canonical, "HELD_WORDS", 5)
+    assert parts == 1 and counted()[0] > 10 and counted()[1] == at_once
+
+
+def test_texts_of_other_scripts_are_all_counted():
+    """No character but those of the filter becomes a letter that tells a script."""
+    maybe = re.compile(canonical.MAYBE_OTHER)
+    for c in map(chr, range(0x110000)):
+        settled = canonical.unicodedata.normalize("NFC", c.translate(canonical.TABLE))
+        assert maybe.match(c) or not (canonical.STRICT_CYRILLIC.search(settled) or canonical.STRICT_GREEK.search(settled))
+
+
 def test_reading_pairs(results, rows):
     assert rows(canonical.reading_pairs(results, {})) == [(1, 2), (2, 3)]
     classes = {r["result_id"]: (r["class_id"], r["n_spellings"]) for r in canonical.reading_classes(results, {}).collect()}
