@@ -335,3 +335,19 @@ def test_pending_runs_commit_once(spark):
     inc.run_pending(entries, ledger, log, narrow, 4)
     assert sorted(r[0] for r in log.read().collect()) == [1, 2, 3]
     assert inc.run_pending(entries.limit(0), ledger, log, narrow) is None
+
+
+def test_operators_in_one_pass(spark, tmp_path):
+    """All operators take one Python worker a task, and give the octets that each gives by itself."""
+    from paperlake.plans.corpus import ent_stages
+
+    sources = [r"\newcommand{\x}{é}\section{A} \x % c", "", None, r"\documentclass{a}\begin{document}\'e $\alpha\leq 1$ \cite{k}\end{document}"]
+    files = [(1, [(str(i), s) for i, s in enumerate(sources)]), (2, []), (3, None), (4, [None, ("a", "ü" * 10_000)])]
+    spark.createDataFrame(files, "entry_seq bigint, tex_files array<struct<name:string,content:string>>").write.parquet(str(tmp_path / "entries.parquet"))
+    found = ent_stages(spark, str(tmp_path))
+    of = lambda s: tuple(None if s is None else len(fn(s).encode()) for fn in text.OPERATORS.values())
+    wanted = [(1, i, *of(s)) for i, s in enumerate(sources)] + [(4, 0, *of(None)), (4, 1, *of("ü" * 10_000))]
+    assert found.columns == ["entry_seq", "pos", *text.OPERATORS] and {t for _, t in found.dtypes[1:]} == {"int"}
+    assert sorted(map(tuple, found.collect())) == wanted
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ArrowEvalPython") + plan.count("MapInArrow") == 1
