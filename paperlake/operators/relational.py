@@ -57,17 +57,33 @@ def float_numbers(captions: DataFrame, doc: str = "doc", pos: str = "pos", kind:
     return captions.withColumn("number", F.row_number().over(Window.partitionBy(doc, kind).orderBy(pos)))
 
 
-def include_closure(spark, edges: DataFrame, roots: DataFrame, depth: int = 20) -> DataFrame:
-    """(paper, file): files reachable from each paper's root over (paper, file, target) edges, by recursive query."""
-    edges.createOrReplaceTempView("_include_edges")
-    roots.createOrReplaceTempView("_include_roots")
-    return spark.sql(f"""
-        WITH RECURSIVE reach(paper, file, depth) AS (
-          SELECT paper, file, 0 FROM _include_roots
-          UNION ALL
-          SELECT r.paper, e.target, r.depth + 1 FROM reach r JOIN _include_edges e ON e.paper = r.paper AND e.file = r.file WHERE r.depth < {depth}
-        ) SELECT DISTINCT paper, file FROM reach WHERE depth > 0
-    """)
+def _reached(edges: list[dict], roots: list[str], depth: int) -> list[str]:
+    """Files at most ``depth`` steps from a root, a layer at a time; every file is followed once."""
+    targets: dict[str, list[str]] = {}
+    for e in edges:
+        targets.setdefault(e["file"], []).append(e["target"])
+    found: set[str] = set()
+    layer = set(roots)
+    for _ in range(depth):
+        layer = {t for f in layer for t in targets.get(f, ())} - found
+        if not layer:
+            break
+        found |= layer
+    return sorted(found)
+
+
+def include_closure(edges: DataFrame, roots: DataFrame, depth: int = 20) -> DataFrame:
+    """(paper, file): files reachable from each paper's roots over (paper, file, target) edges.
+
+    One shuffle by paper, then each paper is walked by itself: a recursive query keeps a row for every way to a file, so
+    its rows (1 000 000 at most in Spark) grow with repeated and circular includes. A task holds the distinct edges of one
+    paper, no more than its files have commands. Null papers and files match nothing, as in a join."""
+    edge = "struct<file:string,target:string>"
+    steps = edges.select("paper", F.struct("file", "target").cast(edge).alias("edge"), F.lit(None).cast("string").alias("root")).where("edge.file is not null")
+    starts = roots.select("paper", F.lit(None).cast(edge).alias("edge"), F.col("file").alias("root")).where("root is not null")
+    papers = steps.unionByName(starts).where("paper is not null").groupBy("paper").agg(F.collect_set("edge").alias("edges"), F.collect_set("root").alias("roots"))
+    walk = F.udf(lambda e, r: _reached(e, r, depth), "array<string>", useArrow=True)
+    return papers.where((F.size("edges") > 0) & (F.size("roots") > 0)).select("paper", F.explode(walk("edges", "roots")).alias("file"))
 
 
 def include_edges(files: DataFrame) -> DataFrame:

@@ -351,3 +351,24 @@ def test_operators_in_one_pass(spark, tmp_path):
     assert sorted(map(tuple, found.collect())) == wanted
     plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("ArrowEvalPython") + plan.count("MapInArrow") == 1
+
+
+def test_closure_of_repeated_and_circular_includes(spark):
+    """Rows follow the files, not the ways to them (3 ** 20 in paper 1); 20 steps at most (papers 2 and 3)."""
+    names = lambda n: [f"{i:02}.tex" for i in range(n)]
+    chain = lambda p, n, back: [(p, a, b) for a, b in zip(names(n), names(n)[1:] + back, strict=False)]
+    repeated = [(1, "a.tex", "b.tex"), (1, "b.tex", "a.tex")] * 3 + [(1, "b.tex", "lost.tex"), (1, "apart.tex", "x.tex")]
+    odd = [(None, "a.tex", "b.tex"), (4, None, "b.tex"), (5, "a.tex", "a.tex"), (6, "a.tex", "b.tex")]
+    edges = spark.createDataFrame([*repeated, *chain(2, 25, []), *chain(3, 20, ["00.tex"]), *odd], "paper bigint, file string, target string")
+    roots = spark.createDataFrame([(1, "a.tex"), (1, "a.tex"), (2, "00.tex"), (3, "00.tex"), (None, "a.tex"), (4, None), (5, "a.tex"), (7, "a.tex")], "paper bigint, file string")
+    found = [tuple(r) for r in relational.include_closure(edges, roots, 20).collect()]
+    wanted = [(1, f) for f in ("a.tex", "b.tex", "lost.tex")] + [(2, f) for f in names(21)[1:]] + [(3, f) for f in names(20)] + [(5, "a.tex")]
+    assert sorted(found) == sorted(wanted)
+
+
+def test_inc_closure_of_repeated_includes(spark, tmp_path):
+    from paperlake.plans.corpus import inc_closure
+
+    files = [("a.tex", r"\begin{document}" + r"\input{b}" * 3), ("b.tex", r"\include{./a.tex}" * 3), ("c.tex", None), (None, r"\input{c}")]
+    spark.createDataFrame([(1, files), (2, None), (3, [])], "entry_seq bigint, tex_files array<struct<name:string,content:string>>").write.parquet(str(tmp_path / "entries.parquet"))
+    assert sorted(map(tuple, inc_closure(spark, str(tmp_path)).collect())) == [(1, "a.tex"), (1, "b.tex")]
